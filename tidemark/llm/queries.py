@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import canonical, encode, mixing, sampling
+from tidemark.llm import canonical, encode, mixing, sampling, subjects
 from tidemark.session import checkpointed
 from tidemark.sources import read_table
 
@@ -62,7 +62,27 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_report(_sizes(spark, sf), read_table(spark, sf, "mix_targets"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_hosts, p4_found, p4_sample, p4_report, p8_ids, p8_sizes, p9_found, p9_mix, p9_shares)}
+def _subject_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(read_table(spark, sf, t) for t in ("documents", "subjects", "subject_labels"))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return subjects.document_subjects(*_subject_tables(spark, sf)).select("doc_id", "subject")
+
+
+def p10_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    return subjects.leaf_terms(*_subject_tables(spark, sf))
+
+
+def p10_composition(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and characters of the corpus by source and subject (``none`` for documents without one)."""
+    tables = _subject_tables(spark, sf)
+    found = subjects.document_subjects(*tables).select("doc_id", "subject")
+    docs = tables[0].select("doc_id", "source", "n_chars").join(found, "doc_id", "left")
+    return docs.groupBy("source", F.coalesce("subject", F.lit("none")).alias("subject")).agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_hosts, p4_found, p4_sample, p4_report, p8_ids, p8_sizes, p9_found, p9_mix, p9_shares, p10_found, p10_leaves, p10_composition)}
 
 SQL: dict[str, str] = {
     "p4_found": """

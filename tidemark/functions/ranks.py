@@ -49,3 +49,21 @@ def shared_out(df: DataFrame, group: list[str], quota: str, capacity: str, order
     extra = F.when(~F.col("_full") & (F.col("_share") < F.col(capacity)) & (F.col("_nth") <= F.col("_over")), 1).otherwise(0)
     share = F.greatest(F.col("_share") + extra, F.lit(0)).cast("long")
     return rows.withColumn(name, share).drop("_w", "_fill", "_before", "_left", "_full", "_rest", "_open", "_share", "_over", "_nth")
+
+
+def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str = "rank", bins: int = 1024) -> DataFrame:
+    """``df`` with the exact rank from 1 by value, then key, in each group; rows without a value are left out.
+
+    The values of a group are cut into equal ranges between its least and
+    greatest; counts by range give offsets, rows are ranked inside their range
+    only. A range is one task's sort: more ``bins`` make it smaller.
+    """
+    rows = df.where(F.col(value).isNotNull())
+    bounds = rows.groupBy(*group).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    rows = rows.join(bounds, group)
+    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    rows = rows.withColumn("_bin", F.coalesce(F.least(F.floor((F.col(value).cast("double") - F.col("_lo")) / width * bins), F.lit(bins - 1)), F.lit(0))).drop("_lo", "_hi")
+    counts = rows.groupBy(*group, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("_bin")) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*group, "_bin").orderBy(value, key))
+    return rows.join(offsets, [*group, "_bin"]).withColumn(name, inside + F.col("_before")).drop("_bin", "_before")

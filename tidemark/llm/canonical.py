@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpointed
-
 ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
 
 
@@ -62,10 +60,10 @@ def _accepted(word: Column, token: Column) -> Column:
 
 
 def pigeonhole_matches(tokens: DataFrame, words: DataFrame) -> DataFrame:
-    """token, word, d: for each distinct token the nearest words of the list within the allowed edits.
+    """token, words: for each distinct token the nearest words of the list within the allowed edits.
 
     ``tokens`` has a column token, ``words`` a column word. Every pair within k
-    edits shares a segment, so the join loses none.
+    edits shares a segment, so the join loses none. Tokens without a word are left out.
     """
     k = edits_allowed(F.col("word"))
     refs = words.select("word", k.alias("k"), F.explode(F.sequence(F.lit(0), k)).alias("i"))
@@ -74,56 +72,57 @@ def pigeonhole_matches(tokens: DataFrame, words: DataFrame) -> DataFrame:
     refs = refs.select("word", "k", F.expr("substring(word, at + 1, end - at)").alias("seg"), F.expr("explode(sequence(at - k, at + k))").alias("pos")).where("pos >= 0")
     widths = F.expr("sequence(1, least(length(token), 8))")
     grams = tokens.select("token", F.explode(widths).alias("w")).select("token", "w", F.expr("explode(sequence(0, length(token) - w))").alias("pos")).selectExpr("token", "pos", "substring(token, pos + 1, w) as seg")
-    pairs = grams.join(refs, ["seg", "pos"]).where("abs(length(word) - length(token)) <= k").select("token", "word").distinct()
-    found = pairs.withColumn("d", _accepted(F.col("word"), F.col("token"))).where("d is not null")
-    best = found.groupBy("token").agg(F.min("d").alias("d"))
-    return found.join(best, ["token", "d"]).select("token", "word", "d")
+    pairs = grams.join(refs, ["seg", "pos"]).where("abs(length(word) - length(token)) <= k")
+    found = pairs.groupBy("token").agg(F.collect_set("word").alias("c"))
+    scored = F.filter(F.transform("c", lambda w: F.struct(_accepted(w, F.col("token")).alias("d"), w.alias("word"))), lambda x: x["d"].isNotNull())
+    found = found.select("token", scored.alias("c")).where(F.size("c") > 0)
+    return found.select("token", F.expr("transform(filter(c, x -> x.d = array_min(transform(c, y -> y.d))), x -> x.word)").alias("words"))
 
 
 def match_names(df: DataFrame, rules: DataFrame, key: str = "host_id", text: str = "host_raw") -> DataFrame:
-    """Entries of the list that each text names: key, canonical, host_group (one row per key and entry).
+    """The entries of the list that each text names: key, named (array of canonical, host_group).
 
     A name covers its words: a one-word name inside a two-word name doesn't
     count, nor does a genus (``X sp.``) beside a species of it. Texts that name
-    nothing have no rows. Works at any length of text: its words are rows.
+    nothing have no rows.
     """
     words = F.filter(F.split(normalised(F.col(text)), " "), lambda x: x != "")
     rows = df.select(F.col(key).alias("_key"), words.alias("w")).where(F.size("w") > 0)
     rows = rows.select("_key", F.posexplode("w").alias("pos", "token"), "w").select("_key", "pos", "token", F.when(F.col("pos") > 0, F.substring(F.get("w", F.col("pos") - 1), 1, 1)).alias("initial"))
-    names = checkpointed(reference_names(rules))
+    names = reference_names(rules)
     vocabulary = names.select(F.explode(F.array(F.when(F.col("kind") != "short", F.col("w1")), "w2", "w3")).alias("word")).where("word <> ''").distinct()
-    matches = checkpointed(pigeonhole_matches(rows.select("token").distinct(), vocabulary))
-    hits = checkpointed(rows.join(matches, "token").select("_key", "pos", "word", "initial"))
-    entry = ["canonical", "host_group"]
-    ones = hits.join(names.where("kind = 'one'"), hits["word"] == names["w1"]).select("_key", "pos", *entry)
-    after = hits.select("_key", (F.col("pos") - 1).alias("pos"), F.col("word").alias("w2"))
-    twos = hits.withColumnRenamed("word", "w1").join(after, ["_key", "pos"]).join(names.where("kind = 'two'"), ["w1", "w2"]).select("_key", F.array("pos", F.col("pos") + 1).alias("at"), *entry)
-    third = hits.select("_key", (F.col("pos") - 2).alias("pos"), F.col("word").alias("w3"))
-    threes = names.where("kind = 'three'").select("w1", "w2", "w3", *entry)
-    threes = hits.withColumnRenamed("word", "w1").join(after, ["_key", "pos"]).join(third, ["_key", "pos"]).join(threes, ["w1", "w2", "w3"]).select("_key", F.array("pos", F.col("pos") + 1, F.col("pos") + 2).alias("at"), *entry)
-    short = names.where("kind = 'short'").select(F.col("w1").alias("initial"), F.col("w2").alias("word"), *entry)
-    shorts = hits.join(short, ["initial", "word"]).select("_key", F.array(F.col("pos") - 1, F.col("pos")).alias("at"), *entry)
-    wide = twos.unionAll(threes).unionAll(shorts)
-    covered = wide.select("_key", F.explode("at").alias("pos")).distinct()
-    named = wide.select("_key", *entry).unionAll(ones.join(covered, ["_key", "pos"], "left_anti").select("_key", *entry)).distinct()
-    genus = F.substring_index("canonical", " ", 1)
-    is_genus = F.col("canonical").endswith(" sp.")
-    species = named.where(~is_genus).select("_key", genus.alias("_genus")).distinct()
-    kept = named.where(~is_genus).unionAll(named.where(is_genus).withColumn("_genus", genus).join(species, ["_key", "_genus"], "left_anti").select("_key", *entry))
-    return kept.withColumnRenamed("_key", key)
+    matches = pigeonhole_matches(rows.select("token").distinct(), vocabulary)
+    hits = rows.join(matches, "token").groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("pos", "words", "initial"))).alias("h"))
+    # Every word by itself, with the letter before it, and with the one or two matched words that follow at once.
+    candidates = """flatten(transform(h, (a, i) -> concat(
+        transform(a.words, x -> struct(a.pos as at, a.pos as upto, 'one' as kind, x as w1, '' as w2, '' as w3)),
+        if(a.initial is null, array(), transform(a.words, x -> struct(a.pos - 1 as at, a.pos as upto, 'short' as kind, a.initial as w1, x as w2, '' as w3))),
+        if(get(h, i + 1).pos = a.pos + 1, flatten(transform(a.words, x -> transform(get(h, i + 1).words, y -> struct(a.pos as at, a.pos + 1 as upto, 'two' as kind, x as w1, y as w2, '' as w3)))), array()),
+        if(get(h, i + 1).pos = a.pos + 1 and get(h, i + 2).pos = a.pos + 2, flatten(transform(a.words, x -> flatten(transform(get(h, i + 1).words, y -> transform(get(h, i + 2).words, z ->
+            struct(a.pos as at, a.pos + 2 as upto, 'three' as kind, x as w1, y as w2, z as w3)))))), array()))))"""
+    found = hits.select("_key", F.explode(F.expr(candidates)).alias("c")).select("_key", "c.*").join(names, ["kind", "w1", "w2", "w3"])
+    entry = F.struct("canonical", "host_group")
+    spots = found.select("_key", F.explode(F.sequence("at", "upto")).alias("pos"), (F.col("kind") != "one").alias("wide"), entry.alias("entry"))
+    per_spot = spots.groupBy("_key", "pos").agg(F.max("wide").alias("any_wide"), F.collect_set(F.struct("wide", "entry")).alias("e"))
+    kept = F.transform(F.filter("e", lambda x: x["wide"] == F.col("any_wide")), lambda x: x["entry"])
+    named = per_spot.select("_key", F.explode(kept).alias("entry")).groupBy("_key").agg(F.collect_set("entry").alias("named"))
+    without_genus = "filter(named, x -> not (x.canonical like '% sp.' and exists(named, y -> y.canonical <> x.canonical and substring_index(y.canonical, ' ', 1) = substring_index(x.canonical, ' ', 1))))"
+    return named.select(F.col("_key").alias(key), F.expr(without_genus).alias("named"))
 
 
 def canonical_values(df: DataFrame, rules: DataFrame, key: str = "host_id", text: str = "host_raw") -> DataFrame:
-    """One row per key: canonical, host_group, ambiguous, n_named, reason.
+    """One row per row of ``df``: key, canonical, host_group, ambiguous, n_named, reason.
 
     Exactly one named entry gives its canonical and group. None or several are
     ambiguous, with reason ``empty`` (null or without a letter or digit),
-    ``unmatched`` or ``several``. Keys are taken as unique; a repeated key is
-    one value of all its texts.
+    ``unmatched`` or ``several``. Keys are taken as unique: rows that share a key
+    are read as one text each and share the names of all.
     """
-    named = match_names(df, rules, key, text).groupBy(key).agg(F.min("canonical").alias("canonical"), F.min("host_group").alias("host_group"), F.count(F.lit(1)).alias("n_named"))
+    named = match_names(df, rules, key, text)
     empty = F.coalesce(normalised(F.col(text)) == "", F.lit(True))
-    rest = df.select(key, empty.alias("empty")).join(named, key, "left_anti").groupBy(key).agg(F.min("empty").alias("empty"))
-    none, one = F.lit(None).cast("string"), F.col("n_named") == 1
-    got = named.select(key, F.when(one, F.col("canonical")).alias("canonical"), F.when(one, F.col("host_group")).alias("host_group"), (~one).alias("ambiguous"), "n_named", F.when(~one, "several").alias("reason"))
-    return got.unionAll(rest.select(key, none, none, F.lit(True), F.lit(0).cast("long"), F.when(F.col("empty"), "empty").otherwise("unmatched")))
+    rows = df.select(key, empty.alias("empty")).join(named, key, "left")
+    n = F.coalesce(F.size("named"), F.lit(0))
+    one = n == 1
+    pick = lambda c: F.when(one, F.get("named", F.lit(0))[c])
+    reason = F.when(one, None).when(n > 1, "several").when(F.col("empty"), "empty").otherwise("unmatched")
+    return rows.select(key, pick("canonical").alias("canonical"), pick("host_group").alias("host_group"), (~one).alias("ambiguous"), n.alias("n_named"), reason.alias("reason"))

@@ -77,10 +77,12 @@ def topical_words(docs: DataFrame, spec: SubjectSpec) -> DataFrame:
     more, over the greatest share of a language's documents that use it at all
     (languages with under one in a hundred documents aside).
     """
-    flat = docs.select("lang", "named", F.array_sort(F.flatten("sets")).alias("all"))
+    flat = docs.select("lang", "named", F.sort_array(F.flatten("sets")).alias("all"))
     again = F.expr("array_distinct(filter(all, (x, i) -> i > 0 and all[i - 1] = x))")
-    rows = flat.select("lang", "named", again.alias("again"), F.explode(F.array_distinct("all")).alias("w"))
-    stats = rows.groupBy("w", "lang").agg(F.count(F.lit(1)).alias("n1"), F.count_if(F.array_contains("again", F.col("w"))).alias("n2"), F.count_if(F.array_contains("named", F.col("w"))).alias("nt"))
+    once, named = F.array_distinct("all"), F.array_intersect("named", "all")
+    marked = lambda ws, k: F.transform(ws, lambda w: F.struct(w.alias("w"), F.lit(k).alias("k")))
+    rows = flat.select("lang", F.explode(F.concat(marked(once, 1), marked(again, 2), marked(named, 3))).alias("x")).select("lang", "x.w", "x.k")
+    stats = rows.groupBy("w", "lang").agg(*(F.count_if(F.col("k") == k).alias(c) for k, c in ((1, "n1"), (2, "n2"), (3, "nt"))))
     sizes = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("nl"))
     sizes = sizes.withColumn("large", F.col("nl") * 100 >= F.sum("nl").over(Window.partitionBy()))
     rate = F.max(F.when(F.col("large"), F.col("n1") / F.col("nl")))

@@ -67,3 +67,15 @@ def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str
     offsets = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("_bin")) - F.col("_n")).drop("_n")
     inside = F.row_number().over(Window.partitionBy(*group, "_bin").orderBy(value, key))
     return rows.join(offsets, [*group, "_bin"]).withColumn(name, inside + F.col("_before")).drop("_bin", "_before")
+
+
+def md5_rank(df: DataFrame, group: list[str], salted: Column, name: str = "rank") -> DataFrame:
+    """``df`` with a rank from 1 by the md5 of a text in each group, taken in 256 ranges of the digest.
+
+    The order is one that SQL engines share, so permutations can be checked there.
+    """
+    rows = df.withColumn("_h", F.md5(salted)).withColumn("_range", F.substring("_h", 1, 2))
+    counts = rows.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("_range")) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*group, "_range").orderBy("_h"))
+    return rows.join(offsets, [*group, "_range"]).withColumn(name, inside + F.col("_before")).drop("_h", "_range", "_before")

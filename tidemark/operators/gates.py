@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.ranks import md5_rank
+
 
 def decimal_year(ts: Column) -> Column:
     """Year and the share of it that has passed, by whole days."""
@@ -43,12 +45,8 @@ def permutation_p(df: DataFrame, group: str, key: str, x: str, y: str, replicate
     reps = rows.select(group, key, x, y, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
 
     def ranked(salt: str, value: str) -> DataFrame:
-        h = F.md5(F.concat_ws("|", F.lit(salt), F.col("rep").cast("string"), F.col(key).cast("string")))
-        keyed = reps.select(group, "rep", F.col(value), h.alias("_h"), F.substring(h, 1, 2).alias("_range"))
-        counts = keyed.groupBy(group, "rep", "_range").agg(F.count(F.lit(1)).alias("_n"))
-        before = F.sum("_n").over(Window.partitionBy(group, "rep").orderBy("_range")) - F.col("_n")
-        inside = F.row_number().over(Window.partitionBy(group, "rep", "_range").orderBy("_h"))
-        return keyed.join(counts.select(group, "rep", "_range", before.alias("_before")), [group, "rep", "_range"]).select(group, "rep", (inside + F.col("_before")).alias("r"), value)
+        salted = F.concat_ws("|", F.lit(salt), F.col("rep").cast("string"), F.col(key).cast("string"))
+        return md5_rank(reps, [group, "rep"], salted, "r").select(group, "rep", "r", value)
 
     slopes = ranked("x", x).join(ranked("y", y), [group, "rep", "r"]).groupBy(group, "rep").agg(F.regr_slope(y, x).alias("s"))
     real = rows.groupBy(group).agg(F.regr_slope(y, x).alias("real"))
@@ -106,3 +104,25 @@ def verdict_changes(table: DataFrame) -> DataFrame:
     rank = lambda c: F.when(F.col(c) == "pass", 3).when(F.col(c) == "weak", 2).when(F.col(c) == "inconclusive", 1).when(F.col(c) == "fail", 0)
     change = F.when(F.col("has_before").isNull(), "new").when(F.col("has_after").isNull(), "gone").when(rank("after") < rank("before"), "worse").when(rank("after") > rank("before"), "better").otherwise("other")
     return both.where("has_before is null or has_after is null or not (before <=> after)").select("pathogen", "kind", "build_date", "clade", "before", "after", change.alias("change"))
+
+
+def prior_checks(fits: DataFrame, group: str, prior: float) -> DataFrame:
+    """group, slope, ratio, level: a prior rate against the measured slope.
+
+    ``error`` without a positive slope or beyond a factor of 10, ``warn`` beyond 3, else ``ok``.
+    """
+    ratio = F.when(F.col("slope") > 0, F.lit(prior) / F.col("slope"))
+    level = F.when(ratio.isNull() | (ratio > 10) | (ratio < 0.1), "error").when((ratio > 3) | (ratio < 1 / 3), "warn").otherwise("ok")
+    return fits.select(group, F.round("slope", 6).alias("slope"), F.round(ratio, 4).alias("ratio"), level.alias("level"))
+
+
+def state_designs(records: DataFrame, by: str, state: str, min_share: float = 0.05) -> DataFrame:
+    """by, n_states, n_other, n_rates, smallest: states of each part once those under ``min_share`` are one state ``other``.
+
+    n_rates is that of a symmetric exchange between all states. Null states don't count.
+    """
+    counts = records.where(F.col(state).isNotNull()).groupBy(by, state).agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(by))
+    folded = counts.withColumn("s", F.when(share < min_share, "other").otherwise(F.col(state))).groupBy(by, "s").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+    out = folded.groupBy(by).agg(F.count(F.lit(1)).alias("n_states"), F.coalesce(F.sum(F.when(F.col("s") == "other", F.col("k"))), F.lit(0)).alias("n_other"), F.min("n").alias("smallest"))
+    return out.select(by, "n_states", "n_other", (F.col("n_states") * (F.col("n_states") - 1) / 2).cast("long").alias("n_rates"), "smallest")

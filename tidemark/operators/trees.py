@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.ranks import md5_rank
 from tidemark.session import checkpointed
 
 
@@ -151,3 +152,29 @@ def transition_summary(rows: DataFrame, recent: float = 0.0) -> DataFrame:
     out = rows.groupBy("parent_state", "state").agg(F.count(F.lit(1)).alias("n"), q.alias("q"), F.avg(F.col("terminal").cast("int")).alias("t"), F.avg((F.col("year") < recent).cast("int")).alias("d"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy())
     return out.select("parent_state", "state", "n", F.round(share, 6).alias("share"), F.round(F.col("q")[1], 6).alias("median_year"), F.round(F.col("q")[2] - F.col("q")[0], 6).alias("iqr"), F.round("t", 6).alias("terminal_share"), F.round("d", 6).alias("deep_share"))
+
+
+def trait_signal(closure: DataFrame, tip_states: DataFrame, replicates: int = 19, alpha: float = 0.05) -> DataFrame:
+    """One row: n_tips, ai, null_mean, p, verdict of the association of states with the tree.
+
+    A replicate gives the tips each other's states in an order of md5; one
+    relabelling holds for the whole tree. p is (replicates with an index as low
+    + 1) / (replicates + 1); ``pass`` if it is at most ``alpha``. Closure rows
+    meet all replicates of a tip at once and are counted by node and state.
+    """
+    known = tip_states.where("state is not null").select("node", "state")
+    reps = known.select("node", "state", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    salt = lambda s: F.concat_ws("|", F.lit(s), F.col("rep").cast("string"), F.col("node").cast("string"))
+    places = md5_rank(reps, ["rep"], salt("a"), "r").select("rep", "r", "node")
+    given = md5_rank(reps, ["rep"], salt("b"), "r").select("rep", "r", "state")
+    labelled = checkpointed(known.select("node", "state", F.lit(0).alias("rep")).unionByName(places.join(given, ["rep", "r"]).select("node", "state", "rep")))
+    inner = closure.where("hops > 0").select("node", F.col("ancestor").alias("clade"))
+    counts = inner.join(labelled, "node").groupBy("rep", "clade", "state").agg(F.count(F.lit(1)).alias("n"))
+    per_clade = counts.groupBy("rep", "clade").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
+    weight = F.when(F.col("n") > 1024, 0.0).otherwise((1 - F.col("top") / F.col("n")) / F.pow(F.lit(2.0), F.col("n") - 1))
+    index = per_clade.groupBy("rep").agg(F.round(F.sum(weight), 6).alias("ai"))
+    real, null = F.max(F.when(F.col("rep") == 0, F.col("ai"))).over(Window.partitionBy()), F.col("rep") > 0
+    index = index.withColumn("real", real)
+    out = index.agg(F.max("real").alias("ai"), F.round(F.avg(F.when(null, F.col("ai"))), 6).alias("null_mean"), ((F.count_if(null & (F.col("ai") <= F.col("real"))) + 1) / (F.count_if(null) + 1)).alias("p"))
+    tips_n = known.agg(F.count(F.lit(1)).alias("n_tips"), F.lit(1).alias("k"))
+    return out.withColumn("k", F.lit(1)).join(F.broadcast(tips_n), "k").select("n_tips", "ai", "null_mean", F.round("p", 6).alias("p"), F.when(F.col("p") <= alpha, "pass").otherwise("fail").alias("verdict"))

@@ -53,6 +53,11 @@ def monophyletic_clades(spark: SparkSession, sf: str) -> DataFrame:
     return trees.pure_clades(trees.state_counts(trees.ancestors(nodes), trees.tips(nodes).select("node", "state")))
 
 
+def trait_signal(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = _nodes(spark, sf)
+    return trees.trait_signal(trees.ancestors(nodes), trees.tips(nodes))
+
+
 def fitch_score(spark: SparkSession, sf: str) -> DataFrame:
     nodes = _nodes(spark, sf)
     states = nodes.select("state").where("state is not null").distinct()
@@ -77,7 +82,7 @@ def jump_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (tree_depths, clade_cut, split_distance, association_index, monophyletic_clades, fitch_score, jumps, jump_summary)
+    f.__name__: f for f in (tree_depths, clade_cut, split_distance, association_index, monophyletic_clades, trait_signal, fitch_score, jumps, jump_summary)
 }
 
 _NODES = """
@@ -113,6 +118,14 @@ SELECT *, round(coalesce((n_a + n_b - 2 * n_shared) / nullif(n_a + n_b, 0), 0),
     + """, i AS (SELECT node, max(n) AS top, sum(n) AS n FROM s WHERE node NOT IN (SELECT node FROM t) GROUP BY 1)
 SELECT count(*) AS n_nodes, round(coalesce(sum(CASE WHEN n > 1024 THEN 0 ELSE (1 - top / n) / pow(2, n - 1) END), 0), 6) AS ai FROM i""",
     "monophyletic_clades": _NODES + ", g AS (SELECT *, sum(n) OVER (PARTITION BY node) AS total FROM s) SELECT state, max(n) AS n_tips, max(n) FILTER (n = total) AS largest FROM g GROUP BY 1",
+    "trait_signal": _NODES
+    + """, e AS (SELECT node, state, unnest(range(1, 20)) AS rep FROM t WHERE state IS NOT NULL),
+a AS (SELECT rep, node, row_number() OVER (PARTITION BY rep ORDER BY md5('a|' || rep || '|' || node)) AS r FROM e), b AS (SELECT rep, state, row_number() OVER (PARTITION BY rep ORDER BY md5('b|' || rep || '|' || node)) AS r FROM e),
+l AS (SELECT 0 AS rep, node, state FROM t WHERE state IS NOT NULL UNION ALL SELECT a.rep, a.node, b.state FROM a JOIN b ON b.rep = a.rep AND b.r = a.r),
+k AS (SELECT l.rep, c.ancestor, l.state, count(*) AS n FROM c JOIN l ON l.node = c.node WHERE c.hops > 0 GROUP BY 1, 2, 3), q AS (SELECT rep, ancestor, max(n) AS top, sum(n) AS n FROM k GROUP BY 1, 2),
+i AS (SELECT rep, round(sum(CASE WHEN n > 1024 THEN 0 ELSE (1 - top / n) / pow(2, n - 1) END), 6) AS ai FROM q GROUP BY 1),
+z AS (SELECT (SELECT ai FROM i WHERE rep = 0) AS ai, avg(ai) FILTER (rep > 0) AS m, (count(*) FILTER (rep > 0 AND ai <= (SELECT ai FROM i WHERE rep = 0)) + 1) / (count(*) FILTER (rep > 0) + 1) AS p FROM i)
+SELECT (SELECT count(*) FROM t WHERE state IS NOT NULL) AS n_tips, ai, round(m, 6) AS null_mean, round(p, 6) AS p, CASE WHEN p <= 0.05 THEN 'pass' ELSE 'fail' END AS verdict FROM z""",
     "jumps": _JUMPS + "SELECT parent_state, state, CAST(floor(year / 10) * 10 AS BIGINT) AS decade, count(*) AS n, count(*) FILTER (terminal) AS n_terminal FROM j GROUP BY 1, 2, 3",
     "jump_summary": _JUMPS
     + """SELECT parent_state, state, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share, round(quantile_cont(year, 0.5), 6) AS median_year, round(quantile_cont(year, 0.75) - quantile_cont(year, 0.25), 6) AS iqr,

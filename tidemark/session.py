@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: str = "8", name: str = "tidemark", **conf: str) -> SparkSession:
@@ -37,3 +38,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is (its join then shuffles).
+
+    The rows are counted up to the limit, so give a table that is cheap to read,
+    as a checkpointed one is.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

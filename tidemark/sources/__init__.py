@@ -1,3 +1,4 @@
+from tidemark.sources.files import read_chain_log, read_fasta, read_records, read_table_text, read_trees, write_chain_log, write_fasta
 from tidemark.sources.tables import read_table
 
-__all__ = ["read_table"]
+__all__ = ["read_chain_log", "read_fasta", "read_records", "read_table", "read_table_text", "read_trees", "write_chain_log", "write_fasta"]

@@ -44,21 +44,24 @@ def file_cells(files: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, r"\r\n|\r|\n"), lambda x: ~x.rlike(r"^\s*(#|$)"))
     files = files.select(*head, "payload_format", lines.alias("lines")).where(F.size("lines") > 0)
     tsv = files.where("payload_format = 'tsv'").select(*head, F.transform(F.split(F.get("lines", F.lit(0)), "\t"), _bare).alias("names"), F.posexplode(F.expr("slice(lines, 2, greatest(size(lines) - 1, 0))")).alias("rec", "line"))
-    tsv = tsv.select(*head, "rec", F.explode(F.arrays_zip("names", F.transform(F.split("line", "\t"), _bare).alias("vals"))).alias("c"))
-    tsv = tsv.select(*head, "rec", F.col("c.names").alias("field"), F.nullif("c.vals", F.lit("")).alias("value"), F.lit("cell").alias("raw_type")).where("field is not null")
+    tsv = tsv.select(*head, F.col("rec").cast("long").alias("rec"), "names", F.transform(F.split("line", "\t"), lambda c: F.nullif(_bare(c), F.lit(""))).alias("vals"))
+    place = F.array_position("names", "clade").cast("int")
+    tsv = tsv.select(*head, "rec", F.when(place > 0, F.get("vals", place - 1)).alias("clade"), F.explode(F.arrays_zip("names", "vals")).alias("c"))
+    tsv = tsv.select(*head, "rec", "clade", F.col("c.names").alias("field"), F.col("c.vals").alias("value"), F.lit("cell").alias("raw_type")).where("field is not null")
     joined = F.array_join("lines", "\n")
     json = files.where("payload_format = 'json'").select(*head, F.when(joined.startswith("["), F.array(joined)).otherwise(F.col("lines")).alias("docs"))
     json = json.select(*head, F.explode("docs").alias("doc"))
     parsed = F.when(F.col("doc").startswith("["), F.from_json("doc", "array<map<string,variant>>")).otherwise(F.array(F.from_json("doc", "map<string,variant>")))
     json = json.select(*head, F.posexplode(parsed).alias("rec", "m"), F.xxhash64("doc").alias("h")).where("m is not null")
-    json = json.withColumn("rec", F.xxhash64("rec", "h")).select(*head, "rec", F.explode("m").alias("name", "v"))
+    entries = F.transform(F.map_entries("m"), lambda e: F.struct(_bare(e["key"]).alias("field"), e["value"].alias("v")))
+    json = json.select(*head, F.xxhash64("rec", "h").alias("rec"), entries.alias("e"))
+    json = json.withColumn("clade", F.expr("try_variant_get(get(filter(e, x -> x.field = 'clade'), 0).v, '$', 'string')")).select(*head, "rec", "clade", F.explode("e").alias("e"))
+    json = json.select(*head, "rec", "clade", F.col("e.field").alias("field"), F.col("e.v").alias("v"))
     kind = F.schema_of_variant("v")
     raw = F.when(kind == "BOOLEAN", "flag").when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), "number").when(kind.startswith("ARRAY"), "list").otherwise("text")
     value = F.when(kind != "VOID", F.coalesce(F.expr("try_variant_get(v, '$', 'string')"), F.expr("to_json(v)")))
-    json = json.select(*head, "rec", _bare(F.col("name")).alias("field"), value.alias("value"), raw.alias("raw_type"))
-    cells = tsv.withColumn("rec", F.col("rec").cast("long")).unionByName(json)
-    clade = F.max(F.when(F.col("field") == "clade", F.col("value"))).over(Window.partitionBy("build_id", "rec"))
-    return cells.withColumn("clade", clade)
+    json = json.select(*head, "rec", "clade", "field", value.alias("value"), raw.alias("raw_type"))
+    return tsv.unionByName(json)
 
 
 def path_types(cells: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Queries of temporal signals, chains, histories and samples, and their SQL."""
+"""Queries of temporal signals, chains, histories and samples, and their SQL.
+
+The chain module needs numpy and pandas; only the queries that use it import it.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import chains, drift, gates, history
+from tidemark.operators import drift, gates, history
 from tidemark.sources import read_table
 
 
@@ -35,27 +38,39 @@ def date_policy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def burnin_thin(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
     kept = chains.after_burnin(read_table(spark, sf, "events"), "event_type", "event_id", 0.1, 3)
     return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"), F.max("idx").alias("last_idx"))
 
 
 def chain_hpd(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
     return chains.shortest_intervals(read_table(spark, sf, "events"), "event_type", "value", "event_id")
 
 
 def chain_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
     return chains.overlaps(read_table(spark, sf, "events"), "event_type", "value")
 
 
 def chain_ess(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
     return chains.effective_sizes(read_table(spark, sf, "events"), "event_type", "event_id", "value")
 
 
 def convergence_gate(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
     return chains.convergence(chain_ess(spark, sf), chain_overlap(spark, sf))
 
 
 def drt_gate(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
     means = read_table(spark, sf, "events").groupBy("event_type").agg(F.avg("value").alias("mean"))
     return chains.randomisation_verdict(chain_hpd(spark, sf), means, "event_type", "click")
 

@@ -101,12 +101,19 @@ def schema_changes(df: DataFrame, same: float = 0.8) -> DataFrame:
     fields = now.unionAll(then).groupBy(*SERIES, "build_date", "field").agg(F.max("side").alias("hi"), F.min("side").alias("lo"), pick(1, "t").alias("new_type"), pick(0, "t").alias("old_type"))
     fields = fields.join(pairs, [*SERIES, "build_date"])
     came, gone = fields.where("lo = 1"), fields.where("hi = 0")
-    values = cells.where("clade is not null").groupBy(*SERIES, "build_date", "clade", "field").agg(F.min("value").alias("value"))
-    old_values = values.withColumnRenamed("build_date", "prev_date").join(gone.select(*SERIES, "build_date", "prev_date", "field"), [*SERIES, "prev_date", "field"]).withColumnRenamed("field", "old")
-    new_values = values.join(came.select(*SERIES, "build_date", "field"), [*SERIES, "build_date", "field"]).withColumnRenamed("field", "new")
-    shared = old_values.select(*SERIES, "build_date", "clade", "old", F.col("value").alias("v0")).join(new_values, [*SERIES, "build_date", "clade"])
-    match = shared.groupBy(*SERIES, "build_date", "old", "new").agg(F.avg(F.col("v0").eqNullSafe(F.col("value")).cast("int")).alias("equal"), F.count_if(F.col("v0") == F.col("value")).alias("n_equal"))
-    match = match.where((F.col("equal") >= same) & (F.col("n_equal") > 0))
+    series = [*SERIES, "build_date"]
+    clades = cells.where("clade is not null").select(*series, "clade").distinct()
+    shared = clades.join(pairs.select(*series, "prev_date"), series)
+    shared = checkpointed(shared.join(clades.withColumnRenamed("build_date", "prev_date"), [*SERIES, "prev_date", "clade"]))
+    sizes = shared.groupBy(*series).agg(F.count(F.lit(1)).alias("n_clades"))
+    values = cells.where("clade is not null and value is not null").groupBy(*series, "clade", "field").agg(F.min("value").alias("value"))
+    old_values = values.withColumnRenamed("build_date", "prev_date").join(shared, [*SERIES, "prev_date", "clade"]).join(gone.select(*series, "field"), [*series, "field"]).withColumnsRenamed({"field": "old", "value": "v0"})
+    new_values = values.join(shared.select(*series, "clade"), [*series, "clade"]).join(came.select(*series, "field"), [*series, "field"]).withColumnsRenamed({"field": "new", "value": "v1"})
+    both = old_values.select(*series, "clade", "old", "v0").join(new_values, [*series, "clade"]).groupBy(*series, "old", "new").agg(F.count(F.lit(1)).alias("n_both"), F.count_if(F.col("v0") == F.col("v1")).alias("n_equal"))
+    filled = lambda v, side: v.groupBy(*series, side).agg(F.count(F.lit(1)).alias(f"n_{side}"))
+    match = both.join(sizes, series).join(filled(old_values, "old"), [*series, "old"]).join(filled(new_values, "new"), [*series, "new"])
+    neither = F.col("n_clades") - F.col("n_old") - F.col("n_new") + F.col("n_both")
+    match = match.withColumn("equal", (F.col("n_equal") + neither) / F.col("n_clades")).where((F.col("equal") >= same) & (F.col("n_equal") > 0))
     best = lambda side, other: F.row_number().over(Window.partitionBy(*SERIES, "build_date", side).orderBy(F.desc("equal"), F.desc("n_equal"), other))
     match = match.withColumn("r_new", best("new", "old")).withColumn("r_old", best("old", "new")).where("r_new = 1 and r_old = 1")
     renamed = match.join(pairs, [*SERIES, "build_date"]).select("build_id", "old", "new")

@@ -103,7 +103,7 @@ def parse_texts(df: DataFrame, key: str, raw: str, day_first: str, min_year: str
     df = df.select(key, *keep, F.col(day_first).alias("df"), lo.alias("lo"), hi.alias("hi"), tidy(F.col(raw)).alias("s"))
     # A weekday in front says nothing more than the date behind it.
     body = F.regexp_replace(F.col("s"), rf"^(?:{WEEKDAYS.replace(' ', '|')})[a-z]*,? (?=\d)", "")
-    df = df.withColumn("s", F.regexp_replace(body, r"^(\d{8})t(\d{2})(\d{2})(\d{2})$", "$1t$2:$3:$4"))
+    df = df.withColumn("s", F.regexp_replace(body, r"^(\d{8})t(\d{2})(\d{2})(\d{2})(?!\d)", "$1t$2:$3:$4"))
     s = F.col("s")
     df = df.withColumns({"clock": F.coalesce(s.rlike(CLOCK), F.lit(False)), "halves": F.split(s, r" ?/ ?")})
     clock = F.col("clock")

@@ -1,4 +1,8 @@
-"""Queries of the training-data problems over the given tables, and their SQL where SQL can say it."""
+"""Queries of the training-data problems over the given tables, and their SQL where SQL can say it.
+
+Modules that need numpy, pandas or Spark ML are imported by the queries that use
+them, which keeps the driver of the others small.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import canonical, encode, mixing, sampling, subjects
+from tidemark.llm import canonical, sampling
 from tidemark.session import checkpointed
 from tidemark.sources import read_table
 
@@ -37,28 +41,40 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import encode
+
     return encode.encoded(read_table(spark, sf, "documents"))
 
 
 def p8_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import encode
+
     sizes = read_table(spark, sf, "documents").select("source", encode.token_count(F.col("text")).alias("n"))
     return sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n").alias("n_tokens"), F.max("n").alias("longest"))
 
 
 def _sizes(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import encode
+
     docs = read_table(spark, sf, "documents").where("source is not null")
     return docs.select(F.col("doc_id").alias("key"), "source", encode.token_count(F.col("text")).alias("n_tokens"))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import mixing
+
     return mixing.short_sources(_sizes(spark, sf), read_table(spark, sf, "mix_targets")).select("source")
 
 
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import mixing
+
     return mixing.mix_sources(checkpointed(_sizes(spark, sf)), read_table(spark, sf, "mix_targets"))
 
 
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import mixing
+
     return mixing.mix_report(_sizes(spark, sf), read_table(spark, sf, "mix_targets"))
 
 
@@ -67,15 +83,21 @@ def _subject_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame,
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import subjects
+
     return subjects.document_subjects(*_subject_tables(spark, sf)).select("doc_id", "subject")
 
 
 def p10_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.llm import subjects
+
     return subjects.leaf_terms(*_subject_tables(spark, sf))
 
 
 def p10_composition(spark: SparkSession, sf: str) -> DataFrame:
     """Documents and characters of the corpus by source and subject (``none`` for documents without one)."""
+    from tidemark.llm import subjects
+
     tables = _subject_tables(spark, sf)
     found = subjects.document_subjects(*tables).select("doc_id", "subject")
     docs = tables[0].select("doc_id", "source", "n_chars").join(found, "doc_id", "left")

@@ -29,7 +29,7 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 NONE = "none"
 SENTENCE_END = r"(?<=[.!?…])[\s\p{Z}]+|[\r\n]+"
@@ -39,7 +39,7 @@ SENTENCE_END = r"(?<=[.!?…])[\s\p{Z}]+|[\r\n]+"
 class SubjectSpec:
     leaves: int = 192
     iterations: int = 6
-    features: int = 4096
+    features: int = 2048
     min_documents: int = 5
     burst: tuple[float, float] = (1.4, 15.0)
     title_share: float = 0.05
@@ -94,7 +94,7 @@ def topical_words(docs: DataFrame, spec: SubjectSpec) -> DataFrame:
 def topical_rows(docs: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id, pos, w: topical words of every sentence."""
     rows = docs.select("doc_id", F.posexplode("sets").alias("pos", "ws")).select("doc_id", "pos", F.explode("ws").alias("w"))
-    return rows.join(words.select("w"), "w")
+    return rows.join(if_small(words.select("w")), "w")
 
 
 def document_leaves(rows: DataFrame, spec: SubjectSpec) -> DataFrame:
@@ -128,35 +128,35 @@ def term_lifts(terms: DataFrame, subjects: list[str]) -> DataFrame:
     return shares.select("w", *(F.log((F.col(f"p_{i}") + 0.02) / (F.col(f"q_{i}") + 0.02)).alias(f"v_{i}") for i in k))
 
 
-def leaf_term_sums(rows: DataFrame, leaves: DataFrame, mixtures: DataFrame, subjects: list[str]) -> DataFrame:
+def leaf_term_sums(pairs: DataFrame, leaves: DataFrame, mixtures: DataFrame, subjects: list[str]) -> DataFrame:
     """w, n, s_0 .. : documents of a word and the sums of the mixtures of their leaves."""
-    per_leaf = rows.select("doc_id", "w").distinct().join(leaves, "doc_id").groupBy("w", "leaf").agg(F.count(F.lit(1)).alias("n"))
+    per_leaf = pairs.join(leaves, "doc_id").groupBy("w", "leaf").agg(F.count(F.lit(1)).alias("n"))
     sums = (F.sum(F.col("n") * F.col(f"p_{i}")).alias(f"s_{i}") for i in range(len(subjects)))
     return per_leaf.join(F.broadcast(mixtures), "leaf").groupBy("w").agg(F.sum("n").alias("n"), *sums)
 
 
-def with_labels(sums: DataFrame, rows: DataFrame, labels: DataFrame, subjects: list[str], weight: float) -> DataFrame:
+def with_labels(sums: DataFrame, pairs: DataFrame, labels: DataFrame, subjects: list[str], weight: float) -> DataFrame:
     """``sums`` with the labelled documents of each word added, each as ``weight`` documents."""
     k = range(len(subjects))
     marks = labels.select("doc_id", "subject").distinct()
     counts = marks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("all"), *(F.count_if(F.col("subject") == s).alias(f"c_{i}") for i, s in enumerate(subjects)))
     shares = counts.select("doc_id", *((F.lit(weight) * F.col(f"c_{i}") / F.col("all")).alias(f"s_{i}") for i in k))
-    own = rows.select("doc_id", "w").distinct().join(shares, "doc_id").select("w", F.lit(weight).alias("n"), *(f"s_{i}" for i in k))
+    own = pairs.join(shares, "doc_id").select("w", F.lit(weight).alias("n"), *(f"s_{i}" for i in k))
     return sums.unionByName(own).groupBy("w").agg(F.sum("n").alias("n"), *(F.sum(f"s_{i}").alias(f"s_{i}") for i in k))
 
 
-def vote_term_sums(rows: DataFrame, votes: DataFrame, subjects: list[str]) -> DataFrame:
+def vote_term_sums(pairs: DataFrame, votes: DataFrame, subjects: list[str]) -> DataFrame:
     """w, n, s_0 .. : documents of a word that have votes, and the sums of their shares of votes."""
     k = range(len(subjects))
     shares = votes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("all"), *(F.count_if(F.col("subject") == s).alias(f"c_{i}") for i, s in enumerate(subjects)))
     shares = shares.select("doc_id", *((F.col(f"c_{i}") / F.col("all")).alias(f"p_{i}") for i in k))
-    return rows.select("doc_id", "w").distinct().join(shares, "doc_id").groupBy("w").agg(F.count(F.lit(1)).alias("n"), *(F.sum(f"p_{i}").alias(f"s_{i}") for i in k))
+    return pairs.join(shares, "doc_id").groupBy("w").agg(F.count(F.lit(1)).alias("n"), *(F.sum(f"p_{i}").alias(f"s_{i}") for i in k))
 
 
 def sentence_subjects(rows: DataFrame, terms: DataFrame, subjects: list[str], spec: SubjectSpec) -> DataFrame:
     """doc_id, pos, subject: sentences whose words agree on one subject."""
     k = range(len(subjects))
-    summed = rows.join(terms, "w").groupBy("doc_id", "pos").agg(*(F.sum(f"v_{i}").alias(f"v_{i}") for i in k))
+    summed = rows.join(if_small(terms), "w").groupBy("doc_id", "pos").agg(*(F.sum(f"v_{i}").alias(f"v_{i}") for i in k))
     ranked = F.sort_array(F.array(*(F.struct(F.col(f"v_{i}").alias("v"), F.lit(s).alias("subject")) for i, s in enumerate(subjects))), asc=False)
     best = summed.select("doc_id", "pos", ranked.alias("r"))
     sure = (F.col("r")[0]["v"] >= F.log(F.lit(spec.vote))) & (F.col("r")[0]["v"] - F.get("r", F.lit(1))["v"] >= F.log(F.lit(spec.margin)))
@@ -177,12 +177,13 @@ def document_subjects(documents: DataFrame, subject_list: DataFrame, labels: Dat
     if len(subjects) < 2 or rows.isEmpty():
         return documents.sparkSession.createDataFrame([], documents.select("doc_id").schema.add("subject", "string").add("n_sentences", "long"))
     leaves = checkpointed(document_leaves(rows, spec))
-    sums = leaf_term_sums(rows, leaves, leaf_mixtures(leaves, labels, subjects, spec), subjects)
+    pairs = checkpointed(rows.select("doc_id", "w").distinct())
+    sums = leaf_term_sums(pairs, leaves, leaf_mixtures(leaves, labels, subjects, spec), subjects)
     for _ in range(spec.rounds):
-        sums = with_labels(sums, rows, labels, subjects, spec.label_weight)
+        sums = with_labels(sums, pairs, labels, subjects, spec.label_weight)
         votes = sentence_subjects(rows, checkpointed(term_lifts(sums, subjects)), subjects, spec)
-        sums = vote_term_sums(rows, votes, subjects)
-    sums = with_labels(sums, rows, labels, subjects, spec.label_weight)
+        sums = vote_term_sums(pairs, votes, subjects)
+    sums = with_labels(sums, pairs, labels, subjects, spec.label_weight)
     votes = sentence_subjects(rows, checkpointed(term_lifts(sums, subjects)), subjects, spec).where(F.col("subject") != NONE)
     return votes.groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n_sentences")).where(F.col("n_sentences") >= spec.min_sentences)
 

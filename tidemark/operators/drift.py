@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 SERIES = ["pathogen", "kind"]
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -93,23 +93,26 @@ def schema_changes(df: DataFrame, same: float = 0.8) -> DataFrame:
     without readable records is skipped.
     """
     cells = checkpointed(file_cells(latest_files(df)))
-    stats = path_types(cells)
-    pairs = _pairs(stats)
+    stats = checkpointed(path_types(cells))
+    pairs = checkpointed(_pairs(stats))
     now = stats.join(pairs.select(*SERIES, "build_date", "prev_date"), [*SERIES, "build_date"]).select(*SERIES, "build_date", "field", F.col("field_type").alias("t"), F.lit(1).alias("side"))
     then = stats.drop("build_id").withColumnRenamed("build_date", "prev_date").join(pairs, [*SERIES, "prev_date"]).select(*SERIES, "build_date", "field", F.col("field_type").alias("t"), F.lit(0).alias("side"))
     pick = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c)))
     fields = now.unionAll(then).groupBy(*SERIES, "build_date", "field").agg(F.max("side").alias("hi"), F.min("side").alias("lo"), pick(1, "t").alias("new_type"), pick(0, "t").alias("old_type"))
-    fields = fields.join(pairs, [*SERIES, "build_date"])
-    came, gone = fields.where("lo = 1"), fields.where("hi = 0")
+    fields = checkpointed(fields.where("lo = 1 or hi = 0 or old_type <> new_type").join(pairs, [*SERIES, "build_date"]))
+    came, gone = (if_small(fields.where(side).select(*SERIES, "build_date", "prev_date", "field")) for side in ("lo = 1", "hi = 0"))
     series = [*SERIES, "build_date"]
-    clades = cells.where("clade is not null").select(*series, "clade").distinct()
-    shared = clades.join(pairs.select(*series, "prev_date"), series)
+    touched = if_small(gone.select(*series, "prev_date").distinct())
+    both_dates = touched.select(*SERIES, F.explode(F.array("build_date", "prev_date")).alias("build_date")).distinct()
+    clades = checkpointed(cells.where("clade is not null").select(*series, "clade").distinct().join(both_dates, series))
+    shared = clades.join(touched, series)
     shared = checkpointed(shared.join(clades.withColumnRenamed("build_date", "prev_date"), [*SERIES, "prev_date", "clade"]))
     sizes = shared.groupBy(*series).agg(F.count(F.lit(1)).alias("n_clades"))
-    values = cells.where("clade is not null and value is not null").groupBy(*series, "clade", "field").agg(F.min("value").alias("value"))
-    old_values = values.withColumnRenamed("build_date", "prev_date").join(shared, [*SERIES, "prev_date", "clade"]).join(gone.select(*series, "field"), [*series, "field"]).withColumnsRenamed({"field": "old", "value": "v0"})
-    new_values = values.join(shared.select(*series, "clade"), [*series, "clade"]).join(came.select(*series, "field"), [*series, "field"]).withColumnsRenamed({"field": "new", "value": "v1"})
-    both = old_values.select(*series, "clade", "old", "v0").join(new_values, [*series, "clade"]).groupBy(*series, "old", "new").agg(F.count(F.lit(1)).alias("n_both"), F.count_if(F.col("v0") == F.col("v1")).alias("n_equal"))
+    values = cells.where("clade is not null and value is not null").select(*series, "clade", "field", "value")
+    one = F.min("value")
+    old_values = values.withColumnRenamed("build_date", "prev_date").join(gone, [*SERIES, "prev_date", "field"]).groupBy(*series, "clade", F.col("field").alias("old")).agg(one.alias("v0")).join(shared.select(*series, "clade"), [*series, "clade"])
+    new_values = values.join(came.drop("prev_date"), [*series, "field"]).groupBy(*series, "clade", F.col("field").alias("new")).agg(one.alias("v1")).join(shared.select(*series, "clade"), [*series, "clade"])
+    both = old_values.join(new_values, [*series, "clade"]).groupBy(*series, "old", "new").agg(F.count(F.lit(1)).alias("n_both"), F.count_if(F.col("v0") == F.col("v1")).alias("n_equal"))
     filled = lambda v, side: v.groupBy(*series, side).agg(F.count(F.lit(1)).alias(f"n_{side}"))
     match = both.join(sizes, series).join(filled(old_values, "old"), [*series, "old"]).join(filled(new_values, "new"), [*series, "new"])
     neither = F.col("n_clades") - F.col("n_old") - F.col("n_new") + F.col("n_both")

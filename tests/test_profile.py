@@ -1,3 +1,5 @@
+import datetime as dt
+
 from tidemark.operators.profile import column_profile, distribution_changes, quality_cases
 
 SCHEMA = "row_id long, load_id int, collection_date string, lat_lon string, segment string, value string, n double"
@@ -26,3 +28,17 @@ def test_profile_counts_and_empty(spark):
     assert got[None, "value"].n_rows == 1
     empty = df.where("false")
     assert column_profile(empty).count() == quality_cases(empty).count() == distribution_changes(empty).count() == 0
+
+
+def test_drift_of_categories_years_magnitudes_and_tails(spark):
+    schema = "load_id int, host string, flag boolean, day string, number double, seen timestamp, text string, same string"
+
+    def row(load, i):
+        new = load == 2
+        text = f"invented virus isolate A/{load * 1000 + i} {'fusion protein gene, partial' if new else 'matrix protein gene, complete'} cds"
+        return load, "seal" if new else "rodent", new, f"{2010 + 9 * new + i % 3}-0{1 + i % 9}-{10 + i % 18}", 1100.0 + i / 4 + 130 * new, dt.datetime(2020 + new, 1, 1) + dt.timedelta(minutes=i), text, f"{'abc'[i % 3]}"
+
+    df = spark.createDataFrame([row(load, i) for load in (0, 1, 2) for i in range(400)], schema)
+    got = {(r.load_id, r.field_name): r for r in distribution_changes(df).collect()}
+    assert {f for load, f in got if load == 2 and got[load, f].shifted} == {"host", "flag", "day", "number", "seen", "text"}
+    assert not any(r.shifted for (load, _), r in got.items() if load == 1)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calendar import days_in_month
+from tidemark.session import checkpointed, if_small
 
 
 def _is_date(text: Column) -> Column:
@@ -47,7 +48,7 @@ def value_form(field: Column, value: Column, numeric: list[str]) -> Column:
     """Form of a value: by the rule of its column, by magnitude, else by its shape."""
     number = value.try_cast("double")
     magnitude = F.when(number == 0, "0").otherwise(F.concat(F.when(number < 0, "-").otherwise("+"), F.floor(F.log10(F.abs(number)) * 4).cast("string")))
-    shape = F.regexp_replace(F.regexp_replace(F.substring(value, 1, 24), "[0-9]+", "9"), r"[^\W\d_]+", "a")
+    shape = F.regexp_replace(F.regexp_replace(value, "[0-9]+", "9"), r"[^\W\d_]+", "a")
     form = F.when(field.isin(*numeric), magnitude).otherwise(shape) if numeric else shape
     for name, rule in RULES.items():
         form = F.when(field == name, rule(value)).otherwise(form)
@@ -120,21 +121,81 @@ def load_drift(counts: DataFrame) -> DataFrame:
     return here.unionAll(before).groupBy("load", "field_name", "form").agg(F.sum("share").alias("share"), F.sum("prev_share").alias("prev_share"))
 
 
-def distribution_changes(df: DataFrame, load: str = "load_id", floor: float = 1e-4, skip: tuple[str, ...] = ("row_id",)) -> DataFrame:
-    """Population stability index of every column from each load to the next, over the forms of its values.
+def _edges(df: DataFrame, fields: list[str], times: list[str], bins: int) -> DataFrame:
+    """field_name, edges: approximate quantiles of ordered columns, as numbers (times as seconds)."""
+    at = F.array(*(F.lit(k / bins) for k in range(1, bins)))
+    number = lambda f: (F.col(f).cast("timestamp") if f in times else F.col(f)).cast("double")
+    quantiles = [F.struct(F.lit(f).alias("field_name"), F.percentile_approx(number(f), at, 10_000).alias("edges")) for f in fields]
+    return df.agg(F.array(*quantiles).alias("q")).select(F.explode("q").alias("q")).select("q.*")
 
-    ``psi`` sums (p - q) ln(p / q) over forms, with shares of at least ``floor``;
-    ``missing_change`` is the change of the missing rate. Above 0.25 counts as a
-    shift. Columns in ``skip`` (row ids, new in every load) are left out.
+
+def drift_items(counts: DataFrame, ordered: list[str], limit: int) -> DataFrame:
+    """load, field_name, measure, item, n: what is compared between loads.
+
+    ``value``: whole values. ``form``: their forms, which keep changes of
+    magnitude and notation together. ``word``: runs of letters or of digits in
+    the whole text of columns with more than ``limit`` values, where most values
+    are new in every load.
+    """
+    there = counts.where(~F.col("missing"))
+    values = there.select("load", "field_name", F.lit("value").alias("measure"), F.col("value").alias("item"), "n")
+    forms = there.where("form is not null").select("load", "field_name", F.lit("form").alias("measure"), F.col("form").alias("item"), "n")
+    many = there.select("field_name", "value").distinct().groupBy("field_name").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > limit).select("field_name")
+    texts = there.where(~F.col("field_name").isin(*ordered)) if ordered else there
+    words = texts.join(F.broadcast(many), "field_name").select("load", "field_name", F.lit("word").alias("measure"), F.explode(F.regexp_extract_all("value", F.lit(r"\p{L}+|\p{N}+"), F.lit(0))).alias("item"), "n")
+    return values.unionAll(forms).unionAll(words).groupBy("load", "field_name", "measure", "item").agg(F.sum("n").alias("n"))
+
+
+def distribution_changes(df: DataFrame, load: str = "load_id", floor: float = 1e-4, skip: tuple[str, ...] = ("row_id",), limit: int = 100, bins: int = 16) -> DataFrame:
+    """Population stability index of every column from each load to the next, over whole values, words and forms.
+
+    ``psi`` sums (p - q) ln(p / q) over bins, with shares of at least ``floor``,
+    and ``noise`` is what two samples of these sizes from one distribution give
+    on average, (bins - 1) (1 / n + 1 / m). An item is a bin of its own in
+    columns of at most ``limit`` items, or where it makes up one in ``limit`` of a
+    load; other values fall into ``bins`` quantile ranges (numbers, times) or hash
+    buckets of the whole text. The row is of the ``measure`` that stands out most.
+    ``missing_change`` is the change of the missing rate. A psi of 0.25 above the
+    noise, or such a change, counts as a shift. Columns in ``skip`` (row ids, new
+    in every load) are left out.
     """
-    fields, numeric = _fields(df.drop(*skip), load)
-    drift = load_drift(with_forms(value_counts(df, load, fields), numeric))
-    p, q = F.greatest("share", F.lit(floor)), F.greatest("prev_share", F.lit(floor))
-    out = drift.groupBy(F.col("load").alias(load), "field_name").agg(
-        F.coalesce(F.sum(F.when(F.col("form").isNotNull(), (p - q) * F.log(p / q))), F.lit(0.0)).alias("psi"),
-        F.coalesce(F.sum(F.when(F.col("form").isNull(), F.col("share") - F.col("prev_share"))), F.lit(0.0)).alias("missing_change"),
+    kept = df.drop(*skip)
+    fields, numeric = _fields(kept, load)
+    ordered = [f.name for f in kept.schema.fields if f.name in numeric or (f.name in fields and isinstance(f.dataType, T.DateType | T.TimestampType | T.TimestampNTZType))]
+    times = [f for f in ordered if f not in numeric]
+    counts = checkpointed(with_forms(value_counts(kept, load, fields), numeric).where("load is not null"))
+    items = checkpointed(drift_items(counts, ordered, limit))
+    totals = items.groupBy("load", "field_name", "measure").agg(F.sum("n").alias("total"))
+    tops = items.join(F.broadcast(totals), ["load", "field_name", "measure"]).groupBy("field_name", "measure", "item").agg(F.max(F.col("n") / F.col("total")).alias("top"))
+    kinds = tops.groupBy("field_name", "measure").agg(F.count(F.lit(1)).alias("k"))
+    own = checkpointed(tops.join(F.broadcast(kinds), ["field_name", "measure"]).where((F.col("k") <= limit) | (F.col("top") * limit >= 1)).select("field_name", "measure", "item", F.lit(True).alias("own")))
+    binned = items.join(if_small(own), ["field_name", "measure", "item"], "left")
+    bucket = F.concat(F.lit("h"), F.pmod(F.xxhash64("item"), F.lit(bins)))
+    if ordered:
+        number = F.col("item").try_cast("double")
+        number = F.when(F.col("field_name").isin(*times), F.col("item").try_cast("timestamp").cast("double")).otherwise(number) if times else number
+        binned = binned.join(F.broadcast(_edges(kept, ordered, times, bins)), "field_name", "left").withColumn("number", number)
+        place = F.concat(F.lit("q"), F.size(F.filter("edges", lambda e: e < F.col("number"))))
+        bucket = F.when((F.col("measure") == "value") & F.col("edges").isNotNull(), place).otherwise(bucket)
+    shares = binned.groupBy("load", "field_name", "measure", F.coalesce("own", F.lit(False)).alias("own"), F.when(F.col("own"), F.col("item")).otherwise(bucket).alias("bin")).agg(F.sum("n").alias("n"))
+    shares = checkpointed(shares.join(totals, ["load", "field_name", "measure"]))
+    # Every load meets its next lower one; a bin that one of them lacks has the share 0 there.
+    pairs = counts.select("load").distinct().select("load", F.lag("load").over(Window.orderBy("load")).alias("prev")).where("prev is not null")
+    before = shares.withColumnRenamed("load", "prev").join(F.broadcast(pairs), "prev").select("load", "field_name", "measure", "own", "bin", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"), F.col("n").alias("m"), F.col("total").alias("prev_total"))
+    here = shares.join(F.broadcast(pairs), "load").select("load", "field_name", "measure", "own", "bin", "n", "total", F.lit(0).cast("long").alias("m"), F.lit(0).cast("long").alias("prev_total"))
+    whole = Window.partitionBy("load", "field_name", "measure")
+    both = here.unionAll(before).withColumns({"total": F.max("total").over(whole), "prev_total": F.max("prev_total").over(whole)})
+    both = both.groupBy("load", "field_name", "measure", "own", "bin").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.max("total").alias("total"), F.max("prev_total").alias("prev_total"))
+    p, q = (F.greatest(F.coalesce(F.col(c) / F.nullif(F.col(t), F.lit(0)), F.lit(0.0)), F.lit(floor)) for c, t in (("n", "total"), ("m", "prev_total")))
+    noise = (F.count(F.lit(1)) - 1) * (1 / F.greatest(F.max("total"), F.lit(1)) + 1 / F.greatest(F.max("prev_total"), F.lit(1)))
+    psi = both.groupBy("load", "field_name", "measure").agg(F.sum((p - q) * F.log(p / q)).alias("psi"), noise.alias("noise"))
+    best = psi.groupBy("load", "field_name").agg(F.max(F.struct((F.col("psi") - F.col("noise")).alias("excess"), "measure", "psi", "noise")).alias("b"))
+    rates = counts.groupBy("load", "field_name").agg((F.coalesce(F.sum(F.when(F.col("missing"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("rate"))
+    changes = rates.join(F.broadcast(pairs), "load").join(rates.select(F.col("load").alias("prev"), "field_name", F.col("rate").alias("old_rate")), ["prev", "field_name"])
+    out = changes.join(best, ["load", "field_name"], "left").select(
+        F.col("load").alias(load), "field_name", F.coalesce("b.psi", F.lit(0.0)).alias("psi"), F.coalesce("b.noise", F.lit(0.0)).alias("noise"), "b.measure", (F.col("rate") - F.col("old_rate")).alias("missing_change"), F.coalesce("b.excess", F.lit(0.0)).alias("excess")
     )
-    return out.withColumn("shifted", (F.col("psi") > 0.25) | (F.abs("missing_change") > 0.25))
+    return out.withColumn("shifted", (F.col("excess") > 0.25) | (F.abs("missing_change") > 0.25)).drop("excess")
 
 
 def quality_cases(df: DataFrame, load: str = "load_id", row_id: str = "row_id", limit: float = 0.25) -> DataFrame:

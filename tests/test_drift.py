@@ -1,6 +1,6 @@
 import datetime as dt
 
-from tidemark.operators.drift import clade_table, schema_changes
+from tidemark.operators.drift import clade_table, field_names, schema_changes
 
 SCHEMA = "build_id long, pathogen string, build_date string, kind string, payload_format string, payload string, loaded_at timestamp, field string, clade string"
 T = dt.datetime(2025, 1, 1)
@@ -38,3 +38,20 @@ def test_table_follows_names_and_reports_failed_casts(spark):
     a, b = "clade\tn_tips\tslope\nc1\t5\t1e-3\nc2\t6\t2e-3\n", "clade\ttips\tslope\nc1\t5\tn/a\nc2\t6\t2e-3\n"
     rows = {(r.build_date, r.clade): r for r in clade_table(run(spark, [("1", "tsv", a, 0), ("2", "tsv", b, 0)])).collect()}
     assert rows["2", "c1"].n_tips == 5 and rows["2", "c1"].failed == {"slope": "n/a"} and rows["2", "c2"].slope == 0.002
+
+
+def test_table_keeps_every_field(spark):
+    a = "clade\tn_tips\trate_hpd\tnotes\nc1\t5\t0.1-0.2\tseen\nc2\t6\t0.3-0.4\t\n"
+    b = "clade\tn_tips\ttips\trateHpd\tis_clocklike\nc1\t5\t7\t0.1-0.2\ttrue\nc2\t6\t8\t0.3-0.4\tfalse\n"
+    c = '[{"clade": "c1", "n_tips": 5, "n_countries": 3, "is_clocklike": true}]'
+    rows = {(r.build_date, r.clade): {k: (v.value, v.raw_type) for k, v in r.rest.items()} for r in clade_table(run(spark, [("1", "tsv", a, 0), ("2", "tsv", b, 0), ("3", "json", c, 0)])).collect()}
+    assert rows["1", "c1"] == {"rate_hpd": ("0.1-0.2", "cell"), "notes": ("seen", "cell")} and rows["1", "c2"] == {"rate_hpd": ("0.3-0.4", "cell")}
+    assert rows["2", "c1"] == {"tips": ("7", "cell"), "rate_hpd": ("0.1-0.2", "cell"), "is_clocklike": ("true", "cell")}
+    assert rows["3", "c1"] == {"n_countries": ("3", "number"), "is_clocklike": ("true", "flag")}
+
+
+def test_names_through_seven_renames(spark):
+    chain = ["slope", *(f"s{i}" for i in range(7))]
+    renames = [(new, "renamed", old) for old, new in zip(chain, chain[1:], strict=False)] + [("rateHpd", "renamed", "rate_hpd"), ("hpd", "renamed", "rateHpd")]
+    got = {r.field: r.column for r in field_names(spark.createDataFrame(renames, "field_name string, change_kind string, old_name string")).collect()}
+    assert all(got[n] == "slope" for n in chain) and got["rateHpd"] == got["rate_hpd"] == got["hpd"] == "hpd"

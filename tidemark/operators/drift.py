@@ -136,32 +136,53 @@ CLADE_COLUMNS = {
 }
 
 
-def field_names(df_changes: DataFrame, rounds: int = 4) -> DataFrame:
-    """field, column: the canonical column that a field name stands for, followed through renames.
+def field_names(df_changes: DataFrame) -> DataFrame:
+    """field, column: the canonical column that a field name stands for, followed through all renames.
 
-    A renamed field takes the column of the field it came from; names are few
-    (bounded by the field names in use), so label rounds are small joins.
+    A renamed field takes the column of the field it came from; names that no
+    column of the table is linked to take the least of the names they are linked
+    to (those without capitals first). Names are few (bounded by the field names
+    in use), so label rounds are small joins; they end when no label changes.
     """
     links = df_changes.where("change_kind = 'renamed'").select(F.col("field_name").alias("a"), F.col("old_name").alias("b"))
     links = checkpointed(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("w")))
     labels = links.sparkSession.createDataFrame([(c, c, 0) for c in ["clade", *CLADE_COLUMNS]], "field string, column string, hops int")
-    for hop in range(1, rounds + 1):
+    hop, known, before = 0, labels.count(), 0
+    while known > before:
+        hop += 1
         step = links.join(labels, F.col("b") == F.col("field")).select(F.col("a").alias("field"), "column", F.lit(hop).alias("hops"), "w")
-        labels = labels.withColumn("w", F.lit(1 << 40).cast("long")).unionByName(step).groupBy("field").agg(F.max_by("column", F.struct(-F.col("hops"), F.col("w"), F.col("column"))).alias("column"), F.min("hops").alias("hops"))
-    return labels.select("field", "column")
+        labels = checkpointed(labels.withColumn("w", F.lit(1 << 40).cast("long")).unionByName(step).groupBy("field").agg(F.max_by("column", F.struct(-F.col("hops"), F.col("w"), F.col("column"))).alias("column"), F.min("hops").alias("hops")))
+        before, known = known, labels.count()
+    place = F.struct((F.col("field") != F.lower("field")).alias("capitals"), F.col("field").alias("name"))
+    others = checkpointed(links.select(F.col("a").alias("field")).distinct().join(labels, "field", "left_anti").withColumn("label", place))
+    changed = not others.isEmpty()
+    while changed:
+        near = links.join(others, F.col("b") == F.col("field")).groupBy(F.col("a").alias("field")).agg(F.min("label").alias("near"))
+        moved = checkpointed(others.join(near, "field", "left").select("field", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
+        others, changed = moved.drop("moved"), not moved.where("moved").isEmpty()
+    return labels.select("field", "column").unionAll(others.select("field", F.col("label.name").alias("column")))
 
 
 def clade_table(df: DataFrame) -> DataFrame:
-    """All files as one table: series, build_date, build_id, clade, the typed columns of ``CLADE_COLUMNS`` and ``failed``.
+    """All files as one table: series, build_date, build_id, clade, the typed columns of ``CLADE_COLUMNS``, ``failed`` and ``rest``.
 
     ``failed`` maps a column to the text that its type can't hold; such values are
-    null in the column. One row per file and clade.
+    null in the column. ``rest`` maps every other field, by its canonical name, to
+    value and raw_type where a value is there. If a file has several fields of one
+    column, the one of that name (else the least) takes it, the others are in
+    ``rest`` by their own names. One row per file and clade.
     """
     names = field_names(schema_changes(df))
-    cells = file_cells(latest_files(df)).join(F.broadcast(names), "field", "left")
-    rows = cells.where("clade is not null").groupBy(*SERIES, "build_date", "build_id", "clade").agg(
-        *(F.max(F.when(F.coalesce("column", "field") == c, F.col("value"))).alias(f"_{c}") for c in CLADE_COLUMNS)
+    file = [*SERIES, "build_date", "build_id"]
+    cells = file_cells(latest_files(df)).where("clade is not null").join(F.broadcast(names), "field", "left").withColumn("column", F.coalesce("column", "field"))
+    cells = checkpointed(cells.groupBy(*file, "clade", "column", "field").agg(F.max(F.struct("value", "raw_type")).alias("x")))
+    owners = cells.where("x.value is not null").groupBy(*file, "column").agg(F.min(F.struct(F.col("field") != F.col("column"), "field"))["field"].alias("owner"))
+    cells = cells.join(if_small(owners), [*file, "column"], "left").withColumn("column", F.when(F.col("field") == F.col("owner"), F.col("column")).otherwise(F.col("field")))
+    other = ~F.col("column").isin("clade", *CLADE_COLUMNS) & F.col("x.value").isNotNull()
+    rows = cells.groupBy(*file, "clade").agg(
+        *(F.max(F.when(F.col("column") == c, F.col("x.value"))).alias(f"_{c}") for c in CLADE_COLUMNS),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(other, F.struct(F.col("column").alias("key"), F.col("x").alias("value")))))).alias("rest"),
     )
     casts = {c: F.col(f"_{c}").try_cast(t) for c, t in CLADE_COLUMNS.items()}
     failed = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(c).alias("key"), F.when(casts[c].isNull(), F.col(f"_{c}")).alias("value")) for c in CLADE_COLUMNS)), lambda x: x["value"].isNotNull()))
-    return rows.select(*SERIES, "build_date", "build_id", "clade", *(v.alias(c) for c, v in casts.items()), failed.alias("failed"))
+    return rows.select(*file, "clade", *(v.alias(c) for c, v in casts.items()), failed.alias("failed"), "rest")

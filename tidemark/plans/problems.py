@@ -44,7 +44,7 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_table(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.clade_table(read_table(spark, sf, "builds")).withColumn("failed", F.to_json("failed"))
+    return drift.clade_table(read_table(spark, sf, "builds")).withColumns({c: F.to_json(c) for c in ("failed", "rest")})
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import random
 
-from tidemark.operators import mutations, newick, trees
+from tidemark.operators import gates, mutations, newick, trees
 
 NODES = "node long, parent long, length double, state string"
 
@@ -99,3 +99,10 @@ def test_newick_forms(spark):
     for i, t in enumerate(cases):
         assert sorted(((r.label, r.length) for r in rows if r.id == i and r.n_children == 0), key=str) == sorted(cases[t], key=str), t
     assert [r.s for r in rows if r.s] == ["u,v"]
+
+
+def test_thousand_permutations(spark):
+    rng = random.Random(4)
+    rows = [("g", i, 2000.0 + i / 2, i / 2 + rng.random()) for i in range(40)]
+    got = gates.temporal_signal(spark.createDataFrame(rows, "g string, k long, x double, y double"), "g", "k", "x", "y").first()
+    assert got.p == round(1 / 1001, 6) and got.verdict == "pass"

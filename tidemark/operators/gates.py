@@ -54,7 +54,7 @@ def permutation_p(df: DataFrame, group: str, key: str, x: str, y: str, replicate
     return slopes.join(real, group).groupBy(group).agg(((hits + 1) / (F.count(F.lit(1)) + 1)).alias("p"))
 
 
-def temporal_signal(df: DataFrame, group: str, key: str, x: str, y: str, replicates: int = 19, min_r2: float = 0.1, min_span: float = 5.0, max_concentration: float = 0.75) -> DataFrame:
+def temporal_signal(df: DataFrame, group: str, key: str, x: str, y: str, replicates: int = 1000, min_r2: float = 0.1, min_span: float = 5.0, max_concentration: float = 0.75) -> DataFrame:
     """Regression, sampling diagnostics, permutation p and verdict of each group.
 
     ``fail``: no positive slope, p above 0.05 or too short a span; ``weak``: low

@@ -1,6 +1,6 @@
 import random
 
-from tidemark.operators import gates, mutations, newick, trees
+from tidemark.operators import chains, gates, mutations, newick, trees
 
 NODES = "node long, parent long, length double, state string"
 
@@ -106,3 +106,24 @@ def test_thousand_permutations(spark):
     rows = [("g", i, 2000.0 + i / 2, i / 2 + rng.random()) for i in range(40)]
     got = gates.temporal_signal(spark.createDataFrame(rows, "g string, k long, x double, y double"), "g", "k", "x", "y").first()
     assert got.p == round(1 / 1001, 6) and got.verdict == "pass"
+
+
+def test_trait_verdict_needs_ai_ps_and_mc(spark):
+    clustered = {i: "AB"[i >= 24] for i in range(16, 32)}
+    mixed = {i: "AB"[i % 2] for i in range(16, 32)}
+    for states, score, verdict in ((clustered, 1, "pass"), (mixed, 8, "fail")):
+        nodes = spark.createDataFrame([(i, i // 2 or None, 1.0, states.get(i)) for i in range(1, 32)], NODES)
+        got = {(r.statistic, r.state): r for r in trees.trait_verdict(nodes, trees.ancestors(nodes), trees.tips(nodes)).collect()}
+        assert set(got) == {("AI", None), ("PS", None), ("MC", "A"), ("MC", "B")} and {r.verdict for r in got.values()} == {verdict}
+        assert got["PS", None].observed == score and got["MC", "A"].n_tips == 8 and got["PS", None].null_lo <= got["PS", None].null_mean <= got["PS", None].null_hi
+
+
+def test_randomisation_is_inconclusive(spark):
+    def verdict(real, reps, ess):
+        rows = [("real", real), *((f"r{i}", m) for i, m in enumerate(reps))]
+        intervals = spark.createDataFrame([(c, 1000, m - 1, m + 1) for c, m in rows], "c string, n long, lo double, hi double")
+        means, sizes = spark.createDataFrame(rows, "c string, mean double"), spark.createDataFrame([(c, 1000, ess) for c, _ in rows], "c string, n long, ess double")
+        return chains.randomisation_checked(intervals, means, sizes, "c", "real").first().verdict
+
+    assert verdict(9.0, [1.0, 2.0, 3.0], 1000.0) == "pass" and verdict(9.0, [2.0, 2.0, 2.001], 1000.0) == "inconclusive"
+    assert verdict(2.0, [1.0, 2.0, 3.0], 1000.0) == "fail" and verdict(2.0, [1.0, 2.0, 3.0], 50.0) == "inconclusive"

@@ -109,3 +109,24 @@ def randomisation_verdict(intervals: DataFrame, means: DataFrame, chain: str, re
     )
     verdict = F.when(F.col("n_overlapping") == 0, "pass").when(~F.col("rmean").between(F.col("lo_mean"), F.col("hi_mean")), "weak").otherwise("fail")
     return out.select("n_replicates", "n_overlapping", F.round("rmean", 6).alias("real_mean"), F.round("lo_mean", 6).alias("lo_mean"), F.round("hi_mean", 6).alias("hi_mean"), "spread", verdict.alias("verdict"))
+
+
+def randomisation_checked(intervals: DataFrame, means: DataFrame, sizes: DataFrame, chain: str, real: str, min_ess: float = 100.0) -> DataFrame:
+    """``randomisation_verdict`` with the state of the replicates: adds n_low_ess, n_wide and mc_error.
+
+    Replicates below ``min_ess`` overlap everything, so they turn ``weak`` and
+    ``fail`` into ``inconclusive``. Several replicates whose means spread by no
+    more than the median Monte Carlo error of one (width / 3.92 / sqrt(ess)) count
+    as one draw, which turns ``pass`` into ``inconclusive``. n_wide: intervals of
+    more than three times the real width.
+    """
+    rows = intervals.join(means, chain).join(sizes.select(chain, "ess"), chain).withColumn("width", F.col("hi") - F.col("lo")).withColumn("k", F.lit(1))
+    own = rows.where(F.col(chain) == real).select("k", F.col("width").alias("rwidth"))
+    error = F.percentile(F.col("width") / 3.92 / F.sqrt(F.greatest("ess", F.lit(1.0))), 0.5)
+    state = rows.where(F.col(chain) != real).join(F.broadcast(own), "k").groupBy("k").agg(
+        F.count_if(F.col("ess") < min_ess).alias("n_low_ess"), F.count_if(F.col("width") > 3 * F.col("rwidth")).alias("n_wide"), error.alias("mc_error"), F.stddev_pop("mean").alias("_spread")
+    )
+    out = randomisation_verdict(intervals, means, chain, real).withColumn("k", F.lit(1)).join(state, "k")
+    one = (F.col("n_replicates") > 1) & (F.col("mc_error") > 0) & (F.col("_spread") <= F.col("mc_error"))
+    unsure = ((F.col("n_low_ess") > 0) & F.col("verdict").isin("weak", "fail")) | (one & (F.col("verdict") == "pass"))
+    return out.withColumn("verdict", F.when(unsure, "inconclusive").otherwise(F.col("verdict"))).withColumn("mc_error", F.round("mc_error", 6)).drop("k", "_spread")

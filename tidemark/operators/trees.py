@@ -154,6 +154,16 @@ def transition_summary(rows: DataFrame, recent: float = 0.0) -> DataFrame:
     return out.select("parent_state", "state", "n", F.round(share, 6).alias("share"), F.round(F.col("q")[1], 6).alias("median_year"), F.round(F.col("q")[2] - F.col("q")[0], 6).alias("iqr"), F.round("t", 6).alias("terminal_share"), F.round("d", 6).alias("deep_share"))
 
 
+def relabelled(tip_states: DataFrame, replicates: int) -> DataFrame:
+    """node, state, rep: the known states (rep 0) and as given to each other in an order of md5 in every replicate."""
+    known = tip_states.where("state is not null").select("node", "state")
+    reps = known.select("node", "state", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    salt = lambda s: F.concat_ws("|", F.lit(s), F.col("rep").cast("string"), F.col("node").cast("string"))
+    places = md5_rank(reps, ["rep"], salt("a"), "r").select("rep", "r", "node")
+    given = md5_rank(reps, ["rep"], salt("b"), "r").select("rep", "r", "state")
+    return checkpointed(known.select("node", "state", F.lit(0).alias("rep")).unionByName(places.join(given, ["rep", "r"]).select("node", "state", "rep")))
+
+
 def trait_signal(closure: DataFrame, tip_states: DataFrame, replicates: int = 19, alpha: float = 0.05) -> DataFrame:
     """One row: n_tips, ai, null_mean, p, verdict of the association of states with the tree.
 
@@ -163,11 +173,7 @@ def trait_signal(closure: DataFrame, tip_states: DataFrame, replicates: int = 19
     meet all replicates of a tip at once and are counted by node and state.
     """
     known = tip_states.where("state is not null").select("node", "state")
-    reps = known.select("node", "state", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    salt = lambda s: F.concat_ws("|", F.lit(s), F.col("rep").cast("string"), F.col("node").cast("string"))
-    places = md5_rank(reps, ["rep"], salt("a"), "r").select("rep", "r", "node")
-    given = md5_rank(reps, ["rep"], salt("b"), "r").select("rep", "r", "state")
-    labelled = checkpointed(known.select("node", "state", F.lit(0).alias("rep")).unionByName(places.join(given, ["rep", "r"]).select("node", "state", "rep")))
+    labelled = relabelled(tip_states, replicates)
     inner = closure.where("hops > 0").select("node", F.col("ancestor").alias("clade"))
     counts = inner.join(labelled, "node").groupBy("rep", "clade", "state").agg(F.count(F.lit(1)).alias("n"))
     per_clade = counts.groupBy("rep", "clade").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
@@ -178,3 +184,54 @@ def trait_signal(closure: DataFrame, tip_states: DataFrame, replicates: int = 19
     out = index.agg(F.max("real").alias("ai"), F.round(F.avg(F.when(null, F.col("ai"))), 6).alias("null_mean"), ((F.count_if(null & (F.col("ai") <= F.col("real"))) + 1) / (F.count_if(null) + 1)).alias("p"))
     tips_n = known.agg(F.count(F.lit(1)).alias("n_tips"), F.lit(1).alias("k"))
     return out.withColumn("k", F.lit(1)).join(F.broadcast(tips_n), "k").select("n_tips", "ai", "null_mean", F.round("p", 6).alias("p"), F.when(F.col("p") <= alpha, "pass").otherwise("fail").alias("verdict"))
+
+
+def parsimony_scores(nodes: DataFrame, depths: DataFrame, labelled: DataFrame) -> DataFrame:
+    """rep, score: the parsimony score of each replicate in ``labelled`` (node, rep, mask); tips without a mask fit any state."""
+    rows = checkpointed(nodes.select("node", "parent").join(depths.select("node", "level"), "node"))
+    masks = checkpointed(rows.join(labelled, "node").select("parent", "level", "rep", "mask", F.lit(0).cast("long").alias("cost")))
+    done = None
+    for level in range(rows.agg(F.max("level")).first()[0] or 0, -1, -1):
+        here = masks.where(F.col("level") == level).drop("level")
+        if done is not None:
+            agg = done.groupBy(F.col("parent").alias("node"), "rep").agg(F.bit_and("mask").alias("both"), F.bit_or("mask").alias("any"), F.sum("cost").alias("cost"))
+            mask, cost = F.when(F.col("both") != 0, F.col("both")).otherwise(F.col("any")), F.col("cost") + F.when(F.col("both") == 0, 1).otherwise(0)
+            here = here.unionByName(agg.join(rows.where(F.col("level") == level), "node").select("parent", "rep", mask.alias("mask"), cost.alias("cost")))
+        done = checkpointed(here)
+    return done.groupBy("rep").agg(F.sum("cost").alias("score"))
+
+
+def trait_verdict(nodes: DataFrame, closure: DataFrame, tip_states: DataFrame, replicates: int = 1000, alpha: float = 0.05) -> DataFrame:
+    """One row per statistic: observed, null_mean, null_lo, null_hi, p, n_tips, thin, verdict of the association of states with the tree.
+
+    Statistics are the association index (AI), the parsimony score (PS) and the
+    largest pure clade of each state (MC, with the state), all from the same
+    relabellings; null_lo and null_hi are their 2.5 and 97.5 percentiles. p is
+    (replicates at least as extreme + 1) / (replicates + 1): low AI and PS, high
+    MC. ``pass`` if AI, PS and at least one MC are below ``alpha``, ``weak`` if AI or PS
+    is, else ``fail``. ``thin``: under 20 tips, or under 5 of the state. States
+    have one bit each, so there are at most 63.
+    """
+    known = tip_states.where("state is not null").select("node", "state")
+    bits = known.select("state").distinct().select("state", (F.row_number().over(Window.orderBy("state")) - 1).alias("r")).select("state", F.expr("shiftleft(1L, r)").alias("mask"))
+    labelled = relabelled(tip_states, replicates)
+    counts = closure.select("node", F.col("ancestor").alias("clade")).join(labelled, "node").groupBy("rep", "clade", "state").agg(F.count(F.lit(1)).alias("n"))
+    clades = checkpointed(counts.groupBy("rep", "clade").agg(F.max(F.struct("n", "state")).alias("top"), F.sum("n").alias("n")))
+    weight = F.when(F.col("n") > 1024, 0.0).otherwise((1 - F.col("top.n") / F.col("n")) / F.pow(F.lit(2.0), F.col("n") - 1))
+    ai = clades.groupBy("rep").agg(F.round(F.sum(weight), 9).alias("x")).select("rep", F.lit("AI").alias("statistic"), F.lit(None).cast("string").alias("state"), "x")
+    mc = clades.where("top.n = n").groupBy("rep", F.col("top.state").alias("state")).agg(F.max("n").cast("double").alias("x")).select("rep", F.lit("MC").alias("statistic"), F.col("state").cast("string").alias("state"), "x")
+    scores = parsimony_scores(nodes, node_depths(closure), labelled.join(F.broadcast(bits), "state").select("node", "rep", "mask"))
+    ps = scores.select("rep", F.lit("PS").alias("statistic"), F.lit(None).cast("string").alias("state"), F.col("score").cast("double").alias("x"))
+    values = checkpointed(ai.unionAll(ps).unionAll(mc))
+    real = values.where("rep = 0").select(F.col("statistic").alias("s"), F.col("state").alias("t"), F.col("x").alias("observed"))
+    null = values.where("rep > 0").join(F.broadcast(real), F.col("statistic").eqNullSafe(F.col("s")) & F.col("state").eqNullSafe(F.col("t")))
+    extreme = F.when(F.col("statistic") == "MC", F.col("x") >= F.col("observed")).otherwise(F.col("x") <= F.col("observed"))
+    ends = F.percentile("x", F.array(F.lit(0.025), F.lit(0.975)))
+    out = null.groupBy("statistic", "state").agg(F.max("observed").alias("observed"), F.avg("x").alias("null_mean"), ends.alias("e"), ((F.count_if(extreme) + 1) / (F.count(F.lit(1)) + 1)).alias("p"))
+    sizes = known.groupBy(F.col("state").cast("string").alias("t")).agg(F.count(F.lit(1)).alias("k"))
+    whole = Window.partitionBy()
+    hit = lambda name: F.coalesce(F.max(F.when(F.col("statistic") == name, F.col("p") < alpha)).over(whole), F.lit(False))
+    out = out.join(F.broadcast(sizes), F.col("state") == F.col("t"), "left").withColumn("n_tips", F.coalesce("k", F.sum("k").over(whole)))
+    verdict = F.when(hit("AI") & hit("PS") & hit("MC"), "pass").when(hit("AI") | hit("PS"), "weak").otherwise("fail")
+    thin = F.col("n_tips") < F.when(F.col("statistic") == "MC", 5).otherwise(20)
+    return out.select("statistic", "state", *(F.round(c, 6).alias(n) for c, n in ((F.col("observed"), "observed"), (F.col("null_mean"), "null_mean"), (F.col("e")[0], "null_lo"), (F.col("e")[1], "null_hi"), (F.col("p"), "p"))), "n_tips", thin.alias("thin"), verdict.alias("verdict"))

@@ -58,6 +58,11 @@ def trait_signal(spark: SparkSession, sf: str) -> DataFrame:
     return trees.trait_signal(trees.ancestors(nodes), trees.tips(nodes))
 
 
+def trait_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = _nodes(spark, sf)
+    return trees.trait_verdict(nodes, trees.ancestors(nodes), trees.tips(nodes))
+
+
 def fitch_score(spark: SparkSession, sf: str) -> DataFrame:
     nodes = _nodes(spark, sf)
     states = nodes.select("state").where("state is not null").distinct()
@@ -82,7 +87,7 @@ def jump_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (tree_depths, clade_cut, split_distance, association_index, monophyletic_clades, trait_signal, fitch_score, jumps, jump_summary)
+    f.__name__: f for f in (tree_depths, clade_cut, split_distance, association_index, monophyletic_clades, trait_signal, trait_verdict, fitch_score, jumps, jump_summary)
 }
 
 _NODES = """

@@ -80,6 +80,13 @@ def drt_gate(spark: SparkSession, sf: str) -> DataFrame:
     return chains.randomisation_verdict(chain_hpd(spark, sf), means, "event_type", "click")
 
 
+def drt_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import chains
+
+    means = read_table(spark, sf, "events").groupBy("event_type").agg(F.avg("value").alias("mean"))
+    return chains.randomisation_checked(chain_hpd(spark, sf), means, chain_ess(spark, sf), "event_type", "click")
+
+
 def _intervals(spark: SparkSession, sf: str) -> DataFrame:
     days = F.unix_date(F.to_date("l_shipdate"))
     lines = read_table(spark, sf, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.min(days).alias("lo"), F.max(days).alias("hi"))
@@ -107,7 +114,7 @@ def verdict_changes(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        temporal_signal, temporal_verdict, temporal_by_group, rayleigh_season, date_policy, burnin_thin, chain_hpd, chain_overlap, chain_ess, convergence_gate, drt_gate,
+        temporal_signal, temporal_verdict, temporal_by_group, rayleigh_season, date_policy, burnin_thin, chain_hpd, chain_overlap, chain_ess, convergence_gate, drt_gate, drt_verdict,
         state_through_time, enrichment_thirds, stratified_sample, verdict_changes,
     )
 }

@@ -5,24 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpointed, if_small
 
-def permuted_rank(df: DataFrame, group: list[str], key: list[str], seed: Column | int = 0, name: str = "rank", bits: int = 8) -> DataFrame:
+
+#: Rows that one range of a group should hold: what a task sorts at once.
+ROWS_A_RANGE = 20_000
+
+
+def range_bits(size: Column, rows: int = ROWS_A_RANGE) -> Column:
+    """Bits of a hash that cut ``size`` rows into ranges of about ``rows``, at least one bit."""
+    return F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(size, F.lit(1)) / rows))).cast("int")
+
+
+def joined_null_safe(rows: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``small`` (few rows: broadcast behind their count) where the columns ``on`` are equal or both null."""
+    renamed = if_small(small.withColumnsRenamed({c: f"_on_{c}" for c in on}))
+    met = F.lit(True)
+    for c in on:
+        met = met & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return rows.join(renamed, met).drop(*(f"_on_{c}" for c in on))
+
+
+def permuted_rank(df: DataFrame, group: list[str], key: list[str], seed: Column | int = 0, name: str = "rank", size: str | None = None, upto: str | None = None) -> DataFrame:
     """``df`` with a rank from 1 in the order of a hash of ``seed`` and ``key`` in each group.
 
-    Rows fall into ``2 ** bits`` hash ranges per group; counts by range give each
-    range its offset and rows are ranked inside their range only. The result
-    depends on the keys and the seed, not on partitions. Equal keys get ranks of
-    their own in no stated order.
+    Rows fall into hash ranges of about ``ROWS_A_RANGE`` rows, as many as the size
+    of their group calls for (counted, or given in the column ``size``); counts by
+    range give each range its offset and rows are ranked inside their range only.
+    With ``upto`` (a column that is the same in a group) ranks beyond it are left
+    out, and ranges that lie beyond it are not sorted. The result depends on the
+    keys and the seed, not on partitions. Equal keys get ranks of their own in no
+    stated order.
     """
+    if size is None:
+        df = joined_null_safe(df, checkpointed(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))), group)
     h = F.xxhash64(F.lit(seed) if isinstance(seed, int) else seed, *(F.col(k) for k in key))
-    rows = df.withColumn("_h", h).withColumn("_range", F.shiftrightunsigned("_h", 64 - bits))
-    counts = rows.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.withColumns({"_h": h, "_bits": range_bits(F.col(size or "_size"))}).withColumn("_range", F.expr("shiftrightunsigned(_h, 64 - _bits)")).drop("_bits", "_size")
+    counts = rows.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"), *([F.max(upto).alias("_upto")] if upto else []))
     before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_range")) - F.col("_n")
-    offsets = counts.select(*group, "_range", before.alias("_before"))
-    on = [rows[c].eqNullSafe(offsets[c]) for c in [*group, "_range"]]
-    joined = rows.join(offsets, on, "left").drop(*(offsets[c] for c in [*group, "_range"]))
+    offsets = counts.withColumn("_before", before)
+    offsets = checkpointed((offsets.where("_before < _upto") if upto else offsets).select(*group, "_range", "_before"))
+    joined = joined_null_safe(rows, offsets, [*group, "_range"])
     inside = F.row_number().over(Window.partitionBy(*group, "_range").orderBy("_h", *key))
-    return joined.withColumn(name, inside + F.col("_before")).drop("_h", "_range", "_before")
+    ranked = joined.withColumn(name, inside + F.col("_before")).drop("_h", "_range", "_before")
+    return ranked.where(F.col(name) <= F.col(upto)) if upto else ranked
 
 
 def shared_out(df: DataFrame, group: list[str], quota: str, capacity: str, order: list[str], name: str, weight: str | None = None) -> DataFrame:
@@ -51,22 +77,21 @@ def shared_out(df: DataFrame, group: list[str], quota: str, capacity: str, order
     return rows.withColumn(name, share).drop("_w", "_fill", "_before", "_left", "_full", "_rest", "_open", "_share", "_over", "_nth")
 
 
-def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str = "rank", bins: int = 1024) -> DataFrame:
+def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str = "rank") -> DataFrame:
     """``df`` with the exact rank from 1 by value, then key, in each group; rows without a value are left out.
 
-    The values of a group are cut into equal ranges between its least and
-    greatest; counts by range give offsets, rows are ranked inside their range
-    only. A range is one task's sort: more ``bins`` make it smaller.
+    Rows are sorted once over all partitions by group, value and key, so neither a
+    long group nor a value that fills one is sorted in one task. The part of a
+    group in a partition gets its offset from the counts of the parts before it.
+    Equal keys of an equal value get ranks of their own in no stated order.
     """
-    rows = df.where(F.col(value).isNotNull())
-    bounds = rows.groupBy(*group).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
-    rows = rows.join(bounds, group)
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    rows = rows.withColumn("_bin", F.coalesce(F.least(F.floor((F.col(value).cast("double") - F.col("_lo")) / width * bins), F.lit(bins - 1)), F.lit(0))).drop("_lo", "_hi")
-    counts = rows.groupBy(*group, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*group).orderBy("_bin")) - F.col("_n")).drop("_n")
-    inside = F.row_number().over(Window.partitionBy(*group, "_bin").orderBy(value, key))
-    return rows.join(offsets, [*group, "_bin"]).withColumn(name, inside + F.col("_before")).drop("_bin", "_before")
+    order = [*group, value, key]
+    laid = df.where(F.col(value).isNotNull()).repartitionByRange(*order).sortWithinPartitions(*order)
+    laid = checkpointed(laid.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
+    parts = laid.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_part")) - F.col("_n")
+    offsets = checkpointed(parts.select(*group, "_part", (before - F.col("_first") + 1).alias("_shift")))
+    return joined_null_safe(laid, offsets, [*group, "_part"]).withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
 
 
 def md5_rank(df: DataFrame, group: list[str], salted: Column, name: str = "rank") -> DataFrame:

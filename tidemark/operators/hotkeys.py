@@ -6,10 +6,10 @@ that holds a third of the table reaches a task as compact states, not as rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 
 def eager_join_sums(left: DataFrame, right: DataFrame, on: list[str], group: list[str], left_sums: list[str] = (), right_sums: list[str] = ()) -> DataFrame:
@@ -30,31 +30,49 @@ def eager_join_sums(left: DataFrame, right: DataFrame, on: list[str], group: lis
     )
 
 
-def _narrowed(rows: DataFrame, key: list[str], bins: Column) -> DataFrame:
-    """Rows of the bin that holds place ``_rest`` of their key, with the place inside it."""
-    binned = rows.withColumn("_bin", bins)
-    states = binned.groupBy(*key, "_rest", "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*key).orderBy("_bin"))
-    chosen = states.withColumn("_before", upto - F.col("_n")).where("_before < _rest and _rest <= _before + _n")
-    chosen = chosen.select(*key, "_bin", (F.col("_rest") - F.col("_before")).alias("_rest"))
-    return binned.drop("_rest").join(chosen, [*key, "_bin"]).drop("_bin")
+def _fetched(rows: DataFrame, chosen: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of the one state that is chosen for each key."""
+    return rows.join(if_small(chosen.select(*on)), on, "left_semi")
+
+
+def _states(rows: DataFrame, key: list[str], state: str) -> DataFrame:
+    """Rows pre-aggregated: their count by key and state."""
+    return rows.groupBy(*key, state).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _chosen(states: DataFrame, key: list[str], state: str, places: DataFrame) -> DataFrame:
+    """key, ``state``, rest: the state that holds place ``rest`` of its key, and the place inside it.
+
+    Both inputs are compact: counts by key and state, and one place by key.
+    Running sums of the counts of a key say where each state begins.
+    """
+    upto = F.sum("_n").over(Window.partitionBy(*key).orderBy(state))
+    held = states.join(if_small(places), key).withColumn("_before", upto - F.col("_n")).where("_before < rest and rest <= _before + _n")
+    return checkpointed(held.select(*key, state, (F.col("rest") - F.col("_before")).alias("rest")))
 
 
 def key_medians(df: DataFrame, key: list[str], value: str, row_id: str) -> DataFrame:
     """The lower median row of every key: key, row_id, value and ``n_rows``.
 
     It is the row at place ceil(n / 2) by value, then row_id. Rows with a null in
-    the key or value don't count. Eager aggregation: counts by key and bin of the
-    value (whole number, value, blocks of the row id) are joined with the counts
-    by key; running sums of these states say which bin holds the place, and only
-    its rows go on. Repeated row ids give one row.
+    the key or value don't count; repeated row ids give one row. Eager
+    aggregation through joins: rows are counted by key and whole number of the
+    value; these states roll up to the totals by key, and states and totals are
+    joined. The state that holds the place is taken apart by value, then by block
+    of row ids, then by row id; only rows of a chosen state are read again, and
+    no key is ever gathered.
     """
-    rows = df.select(*key, F.col(value).alias("_value"), F.col(row_id).alias("_id")).where(" and ".join(f"{c} is not null" for c in [*key, "_value", "_id"]))
-    totals = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
-    left = rows.join(totals.select(*key, F.ceil(F.col("n_rows") / 2).alias("_rest")), key)
-    left = checkpointed(_narrowed(left, key, F.floor("_value")))
-    left = checkpointed(_narrowed(left, key, F.col("_value")))
-    for shift in (32, 16):
-        left = _narrowed(left, key, F.shiftright("_id", shift))
-    left = _narrowed(checkpointed(left), key, F.col("_id"))
-    return left.groupBy(*key).agg(F.first("_id").alias(row_id), F.first("_value").alias(value)).join(totals, key)
+    rows = df.select(*key, F.col(value).alias("_value"), F.col(row_id).cast("long").alias("_id")).where(" and ".join(f"{c} is not null" for c in [*key, "_value", "_id"]))
+    rows = rows.withColumn("_whole", F.floor("_value"))
+    states = checkpointed(_states(rows, key, "_whole"))
+    totals = checkpointed(states.groupBy(*key).agg(F.sum("_n").alias("n_rows")))
+    chosen = _chosen(states, key, "_whole", totals.select(*key, F.ceil(F.col("n_rows") / 2).alias("rest")))
+    near = checkpointed(_fetched(rows, chosen, [*key, "_whole"]).select(*key, "_value", "_id"))
+    values = chosen = _chosen(_states(near, key, "_value"), key, "_value", chosen.select(*key, "rest"))
+    near = _fetched(near, chosen, [*key, "_value"])
+    near = near.withColumn("_block", F.shiftright("_id", 20))
+    chosen = _chosen(_states(near, key, "_block"), key, "_block", chosen.select(*key, "rest"))
+    near = _fetched(near, chosen, [*key, "_block"])
+    ids = _chosen(_states(near, key, "_id"), key, "_id", chosen.select(*key, "rest"))
+    found = ids.join(if_small(values.drop("rest")), key).join(if_small(totals), key)
+    return found.select(*key, F.col("_id").alias(row_id), F.col("_value").alias(value), "n_rows")

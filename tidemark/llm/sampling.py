@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ranks import permuted_rank, shared_out
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 
 def _dimensions() -> dict[str, tuple[Column, Column]]:
@@ -42,14 +42,25 @@ def available(members: DataFrame) -> DataFrame:
 
 
 def target_needs(targets: DataFrame) -> DataFrame:
-    """Targets with ``need``: the larger of target_share x sample_size and min_rows (null as 0)."""
-    return targets.withColumn("need", F.greatest(F.col("target_share") * F.col("sample_size"), F.coalesce("min_rows", F.lit(0)).cast("double")))
+    """Distinct targets with ``need``: the larger of target_share x sample_size and min_rows (null as 0)."""
+    return targets.distinct().withColumn("need", F.greatest(F.col("target_share") * F.col("sample_size"), F.coalesce("min_rows", F.lit(0)).cast("double")))
 
 
-def unmet_targets(members: DataFrame, targets: DataFrame) -> DataFrame:
-    """design_id, category, n_available, need of the targets that their category can't meet."""
-    lines = target_needs(targets).join(available(members), ["dimension", "category"], "left")
-    return lines.withColumn("n_available", F.coalesce("n_available", F.lit(0))).where("n_available < need").select("design_id", "category", "n_available", "need")
+def unmet_targets(members: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
+    """design_id, category, n_available, need of the targets that their category can't meet.
+
+    The designs are drawn (``draw_samples``) and their drawn records counted: a
+    category that can't meet its need is drawn short of it. An accession is drawn
+    under its latest category only, so the lines that came out short are counted
+    again exactly, over every category in which an accession was ever recorded.
+    Repeated lines count once.
+    """
+    drawn = draw_samples(members, targets, seed).groupBy("design_id", "category").agg(F.count(F.lit(1)).alias("n_drawn"))
+    lines = target_needs(targets).join(drawn, ["design_id", "category"], "left")
+    short = checkpointed(lines.where(F.coalesce("n_drawn", F.lit(0)) < F.col("need")).drop("n_drawn"))
+    held = available(members.join(if_small(short.select("dimension", "category").distinct()), ["dimension", "category"], "left_semi"))
+    exact = short.join(held, ["dimension", "category"], "left").withColumn("n_available", F.coalesce("n_available", F.lit(0)))
+    return exact.where("n_available < need").select("design_id", "category", "n_available", "need")
 
 
 def allocate(members: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -72,21 +83,21 @@ def allocate(members: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFra
     report = lines.select("design_id", "dimension", "category", "target_share", "min_rows", "sample_size", "need", "held", "quota", "own", "from_cousins", (F.col("own") + F.col("from_cousins")).alias("n_drawn"))
     plan = report.select("design_id", "dimension", "category", "n_drawn").join(leaves, ["dimension", "category"])
     quotas = shared_out(plan, ["design_id", "category"], "n_drawn", "capacity", ["leaf"], "leaf_quota")
-    return pool, quotas.select("design_id", "dimension", "category", "leaf", "leaf_quota"), report
+    return pool, quotas.select("design_id", "dimension", "category", "leaf", "capacity", "leaf_quota"), report
 
 
 def draw_samples(members: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
     """design_id, category, leaf, accession: the records drawn for every design.
 
     An accession is drawn at most once per design. Ranks come from a hash of
-    design and accession, so a run can be repeated; a leaf that holds a third of
-    all records is ranked in hash ranges.
+    design and accession, so a run can be repeated. A leaf is ranked in hash ranges
+    as many as it holds, and only ranges that reach into its quota are sorted.
     """
     pool, quotas, _ = allocate(members, targets)
     wanted = checkpointed(quotas.where("leaf_quota > 0"))
-    candidates = pool.join(F.broadcast(wanted), ["dimension", "category", "leaf"]).withColumn("_seed", F.col("design_id") * 1_000_003 + seed)
-    ranked = permuted_rank(candidates, ["design_id", "category", "leaf"], ["accession"], F.col("_seed"))
-    return ranked.where("rank <= leaf_quota").select("design_id", "category", "leaf", "accession")
+    candidates = pool.join(if_small(wanted), ["dimension", "category", "leaf"]).withColumn("_seed", F.col("design_id") * 1_000_003 + seed)
+    ranked = permuted_rank(candidates, ["design_id", "category", "leaf"], ["accession"], F.col("_seed"), size="capacity", upto="leaf_quota")
+    return ranked.select("design_id", "category", "leaf", "accession")
 
 
 def sample_report(members: DataFrame, targets: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def _sizes(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm import encode
 
     docs = read_table(spark, sf, "documents").where("source is not null")
-    return docs.select(F.col("doc_id").alias("key"), "source", encode.token_count(F.col("text")).alias("n_tokens"))
+    return checkpointed(docs.select(F.col("doc_id").alias("key"), "source", encode.token_count(F.col("text")).alias("n_tokens")))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,7 +69,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.llm import mixing
 
-    return mixing.mix_sources(checkpointed(_sizes(spark, sf)), read_table(spark, sf, "mix_targets"))
+    return mixing.mix_sources(_sizes(spark, sf), read_table(spark, sf, "mix_targets"))
 
 
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:

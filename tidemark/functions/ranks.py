@@ -12,7 +12,7 @@ from tidemark.session import checkpointed, if_small
 ROWS_A_RANGE = 20_000
 
 
-def range_bits(size: Column, rows: int = ROWS_A_RANGE) -> Column:
+def range_bits(size: Column, rows: float = ROWS_A_RANGE) -> Column:
     """Bits of a hash that cut ``size`` rows into ranges of about ``rows``, at least one bit."""
     return F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(size, F.lit(1)) / rows))).cast("int")
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tidemark.llm.canonical import canonical_values, pigeonhole_matches
+from tidemark.llm.canonical import candidate_pairs, canonical_values, pigeonhole_matches, word_segments
 
 RULES = [
     (1, "vulpo rubra", "Vulpo rubra", "wild"), (2, "red foxel", "Vulpo rubra", "wild"), (3, "vulpo nigrella", "Vulpo nigrella", "wild"), (4, "long-eared foxel", "Vulpo nigrella", "wild"),
@@ -43,35 +43,51 @@ def test_empty_table_and_repeats(spark, rules):
 
 def test_pigeonhole_loses_no_pair(spark):
     rng = random.Random(4)
-    words = ["".join(rng.choice("abcde") for _ in range(rng.randrange(3, 13))) for _ in range(40)]
+    words = ["".join(rng.choice("abcde") for _ in range(rng.choice([*range(1, 13), 45, 60]))) for _ in range(60)]
 
     def typo(w):
-        i = rng.randrange(len(w))
+        i = rng.randrange(max(len(w), 1))
         return rng.choice([w[:i] + w[i + 1 :], w[:i] + rng.choice("abcde") + w[i:], w[:i] + rng.choice("abcde") + w[i + 1 :], w[:i] + w[i : i + 2][::-1] + w[i + 2 :]])
 
     tokens = {typo(w) for w in words for _ in range(4)} | {typo(typo(w)) for w in words for _ in range(4)} | set(words)
     tokens.discard("")
 
-    def lev(a, b):
-        row = list(range(len(b) + 1))
+    def lev(a, b, swaps=False):
+        row, last = list(range(len(b) + 1)), None
         for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
+            new = [i]
             for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+                cost = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
+                if swaps and i > 1 and j > 1 and (x, a[i - 2]) == (b[j - 2], y):
+                    cost = min(cost, last[j - 2] + 1)
+                new.append(cost)
+            last, row = row, new
         return row[-1]
 
     def accepted(w, t):
-        d, n, s = lev(w, t), len(w), lev("".join(sorted(w)), "".join(sorted(t)))
-        if t == w + "s":
-            return 0
-        ok = d <= 1 or (d == 2 and (n >= 6 or s == 0)) or (n >= 6 and ((d == 3 and s <= 2) or (d == 4 and s == 0)))
-        return d if ok else None
+        return 0 if t == w + "s" else lev(w, t) if lev(w, t, swaps=True) <= (2 if len(w) >= 6 else 1 if len(w) >= 3 else 0) else None
 
     wanted = {}
     for t in tokens:
         near = {w: accepted(w, t) for w in set(words) if accepted(w, t) is not None}
         if near:
             wanted[t] = {w for w, d in near.items() if d == min(near.values())}
+    assert max(map(len, wanted)) > 58
     df = lambda xs, c: spark.createDataFrame([(x,) for x in xs], f"{c} string")
     got = {r.token: set(r.words) for r in pigeonhole_matches(df(tokens, "token"), df(set(words), "word")).collect()}
     assert got == wanted
+
+
+def test_no_one_letter_segments_and_few_candidates(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 30))) for _ in range(200)]
+    df = lambda xs, c: spark.createDataFrame([(x,) for x in set(xs)], f"{c} string")
+    short = [(r.word, r.seg) for r in word_segments(df(words, "word")).collect() if len(r.seg) < 2]
+    assert all(len(w) <= 2 for w, _ in short)
+    tokens = [w[:3] + w[4:] for w in words if len(w) > 5] + words
+    assert candidate_pairs(df(tokens, "token"), df(words, "word")).distinct().count() < 10 * len(tokens)
+
+
+def test_repeated_and_null_keys_keep_their_own_texts(spark, rules):
+    df = spark.createDataFrame([(1, "red foxel"), (1, "whiskertail"), (None, "mousard"), (2, None)], "host_id long, host_raw string")
+    assert sorted((r.host_id or 0, r.canonical or r.reason) for r in canonical_values(df, rules).collect()) == [(0, "Murina sp."), (1, "Felix domestrica"), (1, "Vulpo rubra"), (2, "empty")]

@@ -1,4 +1,5 @@
 import random
+from functools import cache
 
 import pytest
 
@@ -52,20 +53,24 @@ def test_pigeonhole_loses_no_pair(spark):
     tokens = {typo(w) for w in words for _ in range(4)} | {typo(typo(w)) for w in words for _ in range(4)} | set(words)
     tokens.discard("")
 
-    def lev(a, b, swaps=False):
-        row, last = list(range(len(b) + 1)), None
+    def lev(a, b):
+        row = list(range(len(b) + 1))
         for i, x in enumerate(a, 1):
-            new = [i]
+            last, row[0] = row[0], i
             for j, y in enumerate(b, 1):
-                cost = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
-                if swaps and i > 1 and j > 1 and (x, a[i - 2]) == (b[j - 2], y):
-                    cost = min(cost, last[j - 2] + 1)
-                new.append(cost)
-            last, row = row, new
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         return row[-1]
 
+    @cache
+    def ball(w):
+        """w and all that one typing error makes of it."""
+        places = range(len(w) + 1)
+        return {w} | {w[:i] + w[i + 1 :] for i in places} | {w[:i] + c + w[j:] for i in places for j in (i, i + 1) for c in "abcdes"} | {w[:i] + w[i : i + 2][::-1] + w[i + 2 :] for i in places}
+
     def accepted(w, t):
-        return 0 if t == w + "s" else lev(w, t) if lev(w, t, swaps=True) <= (2 if len(w) >= 6 else 1 if len(w) >= 3 else 0) else None
+        k = 2 if len(w) >= 6 else 1 if len(w) >= 3 else 0
+        near = abs(len(w) - len(t)) <= k and (w == t or (k == 1 and t in ball(w)) or (k == 2 and not ball(w).isdisjoint(ball(t))))
+        return 0 if t == w + "s" else lev(w, t) if near else None
 
     wanted = {}
     for t in tokens:

@@ -61,9 +61,10 @@ def _swaps(word: Column) -> Column:
 
 
 def _accepted(word: Column, token: Column) -> Column:
-    """Distance if the token is the word or its plural with at most k typing errors, else null."""
+    """Distance if the token is the word or its plural, or becomes it by at most k typing errors one after the other, else null."""
     d, k = F.levenshtein(word, token), edits_allowed(word)
-    swapped = F.exists(_swaps(word), lambda v: F.levenshtein(v, token) <= k - 1) | ((k == 2) & F.arrays_overlap(_swaps(word), _swaps(token)))
+    near = lambda a, b: F.exists(_swaps(a), lambda v: F.levenshtein(v, b) <= k - 1)
+    swapped = near(word, token) | ((k == 2) & (near(token, word) | F.arrays_overlap(_swaps(word), _swaps(token))))
     return F.when(token == F.concat(word, F.lit("s")), 0).when(d <= k, d).when((k >= 1) & (d <= 2 * k) & swapped, d)
 
 

@@ -4,17 +4,18 @@ Keys are spread over hash ranges. Every snapshot gets a digest tree over those
 ranges; two consecutive snapshots are compared from the root down, and rows are
 looked at only in ranges whose digests differ. No step gathers a snapshot, or a
 range of fixed size, in one task: a snapshot that holds a third of all rows is
-spread over ``fan_out ** depth`` ranges.
+spread over as many ranges as its rows call for.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 BLANKS = r"[\s\p{Z}]+"
 OUTER_BLANKS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
@@ -42,12 +43,13 @@ class SnapshotSpec:
     order: tuple[str, ...] = ("loaded_at", "snap_row_id")
 
 
-def snapshot_rows(df: DataFrame, spec: SnapshotSpec, fan_out_bits: int, depth: int) -> DataFrame:
-    """One row per series, snapshot and record: grp, ver, key, body, leaf.
+def snapshot_rows(df: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """One row per series, snapshot and record: grp, ver, key and the digest d1, d2 of what is compared.
 
     The key is in upper case, without outer blanks and without the version after
     its first dot; that version is the first compared value. Rows whose series,
-    snapshot or key is null or blank are no records and are left out.
+    snapshot or key is null or blank are no records and are left out. Values are
+    carried as two 64-bit digests, so long texts are neither shuffled nor stored.
     """
     text = F.upper(F.regexp_replace(F.col(spec.key), OUTER_BLANKS, ""))
     parts = F.split(text, r"\.", 2)
@@ -59,17 +61,23 @@ def snapshot_rows(df: DataFrame, spec: SnapshotSpec, fan_out_bits: int, depth: i
         body.alias("body"),
         F.struct(*(F.col(c) for c in spec.order)).alias("at"),
     ).where("trim(grp) <> '' and trim(ver) <> '' and key <> ''")
-    rows = rows.groupBy("grp", "ver", "key").agg(F.max_by("body", F.struct("at", "body")).alias("body"))
-    leaf = F.shiftrightunsigned(F.xxhash64("key"), 64 - fan_out_bits * depth)
-    return rows.withColumn("leaf", leaf)
+    digests = F.struct(F.xxhash64("body").alias("d1"), F.xxhash64(F.lit(97), "body").alias("d2"))
+    rows = rows.withColumn("d", digests).groupBy("grp", "ver", "key").agg(F.max(F.struct("at", "d")).alias("m"))
+    return rows.select("grp", "ver", "key", "m.d.d1", "m.d.d2")
+
+
+def leaf_depth(rows: DataFrame, fan_out_bits: int, rows_a_leaf: int) -> int:
+    """Levels below the root at which a leaf of the largest snapshot holds about ``rows_a_leaf`` rows."""
+    largest = rows.groupBy("grp", "ver").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    return max(1, math.ceil(math.log2(max(largest / rows_a_leaf, 1)) / fan_out_bits))
 
 
 def digest_levels(rows: DataFrame, fan_out_bits: int, depth: int) -> list[DataFrame]:
     """Digests by level, the root first: grp, ver, node, n, d1, d2."""
     leaves = rows.groupBy("grp", "ver", F.col("leaf").alias("node")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("key", "body")).alias("d1"),
-        F.bit_xor(F.xxhash64(F.lit(97), "body", "key")).alias("d2"),
+        F.bit_xor(F.xxhash64("key", "d1", "d2")).alias("d1"),
+        F.bit_xor(F.xxhash64(F.lit(97), "d2", "d1", "key")).alias("d2"),
     )
     levels = [checkpointed(leaves)]
     for _ in range(depth):
@@ -92,15 +100,19 @@ def consecutive(level0: DataFrame) -> DataFrame:
 
 
 def differing_nodes(levels: list[DataFrame], pairs: DataFrame, fan_out_bits: int) -> DataFrame:
-    """Leaves that differ between the snapshots of a pair, found from the root down."""
+    """Leaves that differ between the snapshots of a pair, found from the root down.
+
+    What is open after a level is written down, so every level reads the one
+    before once, and the join with the next is a broadcast if few nodes differ.
+    """
     open_nodes = pairs.withColumn("parent", F.lit(0).cast("long"))
     for k, level in enumerate(levels):
         keyed = level.withColumn("parent", F.shiftright("node", fan_out_bits) if k else F.col("node"))
         sides = [
-            keyed.withColumnRenamed("ver", side).join(open_nodes, ["grp", side, "parent"]).select("grp", "prev", "cur", "node", F.struct("n", "d1", "d2").alias("d"))
+            keyed.withColumnRenamed("ver", side).join(if_small(open_nodes), ["grp", side, "parent"]).select("grp", "prev", "cur", "node", F.struct("n", "d1", "d2").alias("d"))
             for side in ("prev", "cur")
         ]
-        open_nodes = (
+        open_nodes = checkpointed(
             sides[0].unionAll(sides[1])
             .groupBy("grp", "prev", "cur", F.col("node").alias("parent"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("d").alias("lo"), F.max("d").alias("hi"))
@@ -110,20 +122,24 @@ def differing_nodes(levels: list[DataFrame], pairs: DataFrame, fan_out_bits: int
     return open_nodes.withColumnRenamed("parent", "leaf")
 
 
-def snapshot_changes(df: DataFrame, spec: SnapshotSpec = SnapshotSpec(), fan_out_bits: int = 4, depth: int = 2) -> DataFrame:
+def snapshot_changes(df: DataFrame, spec: SnapshotSpec = SnapshotSpec(), fan_out_bits: int = 4, rows_a_leaf: int = 16) -> DataFrame:
     """Records added, removed or changed from each snapshot to the next.
 
     Columns: the series, version and key columns of ``spec`` and ``change_kind``.
     The first snapshot of a series has no changes; a record that comes back is
     ``added``; letter case, blanks, and null against empty make no difference.
-    Repeated rows count once, ties of ``order`` go to the greater content. An
-    empty table gives no rows; other columns of ``df`` are not read.
+    Repeated rows count once, ties of ``order`` go to one of the contents, always
+    the same. An empty table gives no rows; other columns of ``df`` are not read.
+    The tree is as deep as leaves of about ``rows_a_leaf`` rows need in the largest
+    snapshot, so what is compared row by row stays near to what changed.
     """
-    rows = checkpointed(snapshot_rows(df, spec, fan_out_bits, depth))
+    rows = checkpointed(snapshot_rows(df, spec))
+    depth = leaf_depth(rows, fan_out_bits, rows_a_leaf)
+    rows = rows.withColumn("leaf", F.shiftrightunsigned(F.xxhash64("key"), 64 - fan_out_bits * depth))
     levels = digest_levels(rows, fan_out_bits, depth)
-    leaves = differing_nodes(levels, consecutive(levels[0]), fan_out_bits)
-    none = F.lit(None).cast("string")
-    bodies = {"prev": (F.col("body"), none), "cur": (none, F.col("body"))}
+    leaves = if_small(differing_nodes(levels, consecutive(levels[0]), fan_out_bits))
+    none, body = F.lit(None).cast("struct<d1:bigint,d2:bigint>"), F.struct("d1", "d2")
+    bodies = {"prev": (body, none), "cur": (none, body)}
     sides = [
         rows.withColumnRenamed("ver", side).join(leaves, ["grp", side, "leaf"]).select("grp", "cur", "key", before.alias("before"), after.alias("after"))
         for side, (before, after) in bodies.items()

@@ -2,9 +2,10 @@
 
 Two steps. ``parse_texts`` reads each text with built-in expressions into either
 a calendar span, an instant with its offset, or a wall clock time with the zone
-it needs. ``resolve`` joins wall clock times to the offset intervals of their
-zones (``zone_intervals``): one matching interval gives the instant, two mean
-that the time occurred twice, none that it never occurred.
+it needs. ``normalise_timestamps`` joins wall clock times as of their local time
+to the offset intervals of their zones (``zone_intervals``): one matching
+interval gives the instant, two mean that the time occurred twice, none that it
+never occurred.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import day_number, days_in_month, is_leap, month_number
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 US_PER_DAY = 86_400_000_000
+#: Days from which an offset interval is no season of summer or winter time.
+LONG_DAYS = 300
 #: Dashes and blanks that stand for plain ones.
 DASHES = "‐‑‒–—−"
 ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
@@ -163,34 +166,60 @@ def parse_texts(df: DataFrame, key: str, raw: str, day_first: str, min_year: str
 
 
 def zone_intervals(used: DataFrame) -> DataFrame:
-    """Offset intervals of the zones and local years in ``used`` (zone in lower case, year).
-
-    One row per zone and year: ``intervals``, an array of local_from_us,
-    local_to_us and offset_s that covers the year and two days on either side, and
-    the least and greatest offset in force in it. Names that are no IANA zone are
-    left out. The rows are bounded by the zone names (about 600) times the years.
-    Offsets come from the engine's own zone rules; days at whose two midnights
-    the offset differs are searched by the minute.
+    """Offset intervals of the zones in ``used`` (zone in lower case, year) around the local years used.
+
+    One row per interval: zone, local_from_us, next_from_us (where the next one
+    begins on the local clock), local_to_us (where it ends), offset_s, prev_to_us
+    and prev_offset_s of the interval before it, and std_offset_s and dst_offset_s,
+    what an abbreviation for winter or summer time stands for in it: an interval
+    shorter than a season of ``LONG_DAYS`` days pairs with such neighbours, a
+    longer one stands for itself. Names that are no IANA zone are left out. Offsets
+    come from the engine's own zone rules; days at whose two midnights the offset
+    differs are searched by the minute. Rows are bounded by the zones (about 600)
+    and the years used.
     """
     names = [(n, n.lower()) for n in sorted(zoneinfo.available_timezones()) if "/" in n or n in ("UTC", "GMT")]
     known = used.sparkSession.createDataFrame(names, "name string, zone string")
-    keys = used.where("zone is not null and year between 1 and 9998").select("zone", "year").distinct().join(F.broadcast(known), "zone")
+    around = F.explode(F.array(*(F.col("year") + k for k in (-1, 0, 1))))
+    keys = used.where("zone is not null and year between 2 and 9997").select("zone", "year").distinct().select("zone", around.alias("year")).distinct().join(if_small(known), "zone")
     offset = "(unix_micros(from_utc_timestamp(timestamp_seconds({s}), name)) div 1000000 - {s})"
-    first = day_number(F.col("year"), F.lit(1), F.lit(1)) - 2
-    days = keys.withColumn("first", first.cast("long") * 86400).selectExpr("*", "explode(sequence(first, first + 370 * 86400L, 86400L)) as s")
+    first = day_number(F.col("year"), F.lit(1), F.lit(1))
+    days = keys.withColumn("first", first.cast("long") * 86400).selectExpr("*", "explode(sequence(first, first + 366 * 86400L, 86400L)) as s")
     days = days.selectExpr("zone", "year", "name", "first", "s", f"{offset.format(s='s')} as here", f"{offset.format(s='(s + 86400)')} as after")
-    steps = days.where("here <> after").selectExpr("zone", "year", "name", "explode(sequence(s + 60, s + 86400, 60L)) as s")
-    steps = steps.selectExpr("zone", "year", "s", f"{offset.format(s='s')} as here", f"{offset.format(s='(s - 60)')} as before").where("here <> before").select("zone", "year", "s", "here")
-    starts = steps.unionAll(days.where("s = first").select("zone", "year", "s", "here"))
-    order = Window.partitionBy("zone", "year").orderBy("s")
-    spans = starts.withColumn("e", F.lead("s", 1).over(order)).selectExpr(
-        "zone", "year", "(s + here) * 1000000 as local_from_us", "(coalesce(e, s + 400 * 86400) + here) * 1000000 as local_to_us", "here as offset_s"
-    )
-    return spans.groupBy("zone", "year").agg(
-        F.collect_list(F.struct("local_from_us", "local_to_us", "offset_s")).alias("intervals"), F.min("offset_s").alias("std_offset_s"), F.max("offset_s").alias("dst_offset_s")
+    steps = days.where("here <> after").selectExpr("zone", "name", "explode(sequence(s + 60, s + 86400, 60L)) as s")
+    steps = steps.selectExpr("zone", "s", f"{offset.format(s='s')} as here", f"{offset.format(s='(s - 60)')} as before").where("here <> before").select("zone", "s", "here")
+    # Each year begins anew, as the one before may not be used; boundaries without a change fall away.
+    starts = steps.unionAll(days.where("s = first").select("zone", "s", "here")).distinct()
+    order = Window.partitionBy("zone").orderBy("s")
+    spans = starts.withColumn("last", F.lag("here").over(order)).where("last is null or last <> here")
+    spans = spans.select("zone", "s", "here", F.coalesce(F.lead("s").over(order), F.lit(1 << 38)).alias("e"))
+    brief = F.when(F.col("e") - F.col("s") < LONG_DAYS * 86400, F.col("here"))
+    spans = spans.withColumn("brief", brief)
+    beside = [F.when(F.col("brief").isNotNull(), move("brief").over(order)) for move in (F.lag, F.lead)]
+    clock = lambda t, o: (t + o) * F.lit(1_000_000).cast("long")
+    s, e, here = F.col("s"), F.col("e"), F.col("here")
+    return spans.select(
+        "zone",
+        F.when(F.lag("s").over(order).isNull(), F.lit(-(1 << 61))).otherwise(clock(s, here)).alias("local_from_us"),
+        F.coalesce(clock(e, F.lead("here").over(order)), F.lit(1 << 61)).alias("next_from_us"),
+        clock(e, here).alias("local_to_us"),
+        here.alias("offset_s"),
+        clock(s, F.lag("here").over(order)).alias("prev_to_us"),
+        F.lag("here").over(order).alias("prev_offset_s"),
+        F.least(here, *beside).alias("std_offset_s"),
+        F.greatest(here, *beside).alias("dst_offset_s"),
     )
 
 
+def intervals_by_year(intervals: DataFrame, used: DataFrame) -> DataFrame:
+    """``intervals`` once for every used local year that they, or the time up to the next one, reach into: adds year."""
+    years = used.where("zone is not null and year between 2 and 9997").select("zone", "year").distinct()
+    first = day_number(F.col("year"), F.lit(1), F.lit(1)).cast("long") * US_PER_DAY
+    after = day_number(F.col("year") + 1, F.lit(1), F.lit(1)).cast("long") * US_PER_DAY
+    met = years.withColumns({"_first": first, "_after": after}).join(intervals, "zone")
+    return met.where("local_from_us < _after and next_from_us > _first").drop("_first", "_after")
+
+
 def normalise_timestamps(df: DataFrame, sites: DataFrame, key: str = "date_id", raw: str = "raw", site: str = "site_id") -> DataFrame:
     """One row per row of ``df``: key, outcome, precision, start_us, end_us.
 
@@ -200,31 +229,37 @@ def normalise_timestamps(df: DataFrame, sites: DataFrame, key: str = "date_id",
     null unless it is ``ok``. Spans end at the midnight after their last day.
     Null and blank texts are ``unreadable``; repeated rows give repeated results;
     a site that is null or not listed leaves zone and order of day and month
-    open; of a site listed twice any one line counts. An empty table gives none.
+    open; of a site listed several times the least line (by its columns) counts.
+    An empty table gives none.
     """
-    known = sites.select(F.col("site_id").alias("_site"), "day_first", *(F.lower(c).alias(f"_{c}") for c in ("tz_name", "std_abbr", "dst_abbr"))).where("_site is not null").dropDuplicates(["_site"])
+    listed = sites.select(F.col("site_id").alias("_site"), F.struct("day_first", *(F.lower(c).alias(f"_{c}") for c in ("tz_name", "std_abbr", "dst_abbr"))).alias("s")).where("_site is not null")
+    known = checkpointed(listed.groupBy("_site").agg(F.min("s").alias("s")).select("_site", "s.*"))
     rows = df.select(F.col(key).alias("_key"), F.col(raw).alias("_raw"), F.col(site).alias("_in_site"), "min_year", "max_year")
-    rows = rows.join(known, F.col("_in_site") == F.col("_site"), "left")
+    rows = rows.join(if_small(known), F.col("_in_site") == F.col("_site"), "left")
     rows = parse_texts(rows, "_key", "_raw", "day_first", "min_year", "max_year", "_tz_name", "_std_abbr", "_dst_abbr")
     text, wall = F.col("zone_text"), F.col("kind") == "wall"
     abbreviation = F.when(text == F.col("_std_abbr"), "std").when(text == F.col("_dst_abbr"), "dst")
     rows = rows.withColumns({"abbr": F.when(wall, abbreviation), "year": F.when(wall, F.year(F.timestamp_micros("local_us")))})
     rows = rows.withColumn("zone", F.when(wall, F.when(text.isNull() | F.col("abbr").isNotNull(), F.col("_tz_name")).otherwise(text)))
     rows = checkpointed(rows.drop("_tz_name", "_std_abbr", "_dst_abbr", "zone_text"))
-    joined = rows.join(F.broadcast(zone_intervals(rows)), ["zone", "year"], "left")
-    hits = F.expr("transform(filter(intervals, i -> local_us >= i.local_from_us and local_us < i.local_to_us), i -> i.offset_s)")
-    joined = joined.withColumn("offsets", hits).withColumn(
-        "offset_s", F.when(F.col("abbr") == "std", F.col("std_offset_s")).when(F.col("abbr") == "dst", F.col("dst_offset_s")).when(F.size("offsets") == 1, F.get("offsets", F.lit(0)))
+    used = checkpointed(rows.select("zone", "year").where("zone is not null and year is not null").distinct())
+    intervals = checkpointed(intervals_by_year(zone_intervals(used), used).withColumnsRenamed({"zone": "_zone", "year": "_year"}))
+    # As of its local time a row meets one interval, the last that has begun; the one before it may not have ended yet.
+    as_of = (F.col("zone") == F.col("_zone")) & (F.col("year") == F.col("_year")) & (F.col("local_us") >= F.col("local_from_us")) & (F.col("local_us") < F.col("next_from_us"))
+    joined = rows.join(if_small(intervals), as_of, "left")
+    now, before = F.col("local_us") < F.col("local_to_us"), F.coalesce(F.col("local_us") < F.col("prev_to_us"), F.lit(False))
+    joined = joined.withColumn("n_hits", now.cast("int") + before.cast("int")).withColumn(
+        "offset_used", F.when(F.col("abbr") == "std", F.col("std_offset_s")).when(F.col("abbr") == "dst", F.col("dst_offset_s")).when(F.col("n_hits") == 1, F.when(now, F.col("offset_s")).otherwise(F.col("prev_offset_s")))
     )
     outcome = (
         F.when(F.col("kind") == "none", "unreadable")
         .when(F.col("kind") != "wall", "ok")
-        .when(F.col("intervals").isNull(), "no_zone")
-        .when(F.col("offset_s").isNotNull(), "ok")
-        .when(F.size("offsets") == 0, "nonexistent")
+        .when(F.col("_zone").isNull(), "no_zone")
+        .when(F.col("offset_used").isNotNull(), "ok")
+        .when(F.col("n_hits") == 0, "nonexistent")
         .otherwise("ambiguous")
     )
-    instant = F.col("local_us") - F.col("offset_s") * F.lit(1_000_000).cast("long")
+    instant = F.col("local_us") - F.col("offset_used") * F.lit(1_000_000).cast("long")
     return joined.select(
         F.col("_key").alias(key),
         outcome.alias("outcome"),

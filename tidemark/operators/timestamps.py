@@ -40,12 +40,14 @@ DATE_FORMS: tuple[tuple[str, str], ...] = (
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?(?: ?([ap]\.?m\.?))?"
 _ZONE = r"(?: ?(z|[+-]\d{2}(?::?\d{2})?)| ?[\[(]([a-z_]+(?:/[a-z_+-]+[0-9]*)*)[\])]| ([a-z_]+(?:/[a-z_+-]+[0-9]*)*))?"
 CLOCK = rf"^(.*\d)(?:t| |, ?){_TIME}{_ZONE}$"
+#: Stands between the parts of a clock time; taken out of texts that hold it.
+PART = "\u0001"
 WEEKDAYS = "mon tue wed thu fri sat sun"
 
 
 def tidy(raw: Column) -> Column:
     """Lower-case text with plain letters, dashes and single blanks."""
-    text = F.translate(F.lower(raw), DASHES + ACCENTED, "-" * len(DASHES) + PLAIN)
+    text = F.translate(F.lower(raw), DASHES + ACCENTED + PART, "-" * len(DASHES) + PLAIN)
     return F.trim(F.regexp_replace(text, r"[\s\p{Z}]+", " "))
 
 
@@ -108,9 +110,11 @@ def parse_texts(df: DataFrame, key: str, raw: str, day_first: str, min_year: str
     body = F.regexp_replace(F.col("s"), rf"^(?:{WEEKDAYS.replace(' ', '|')})[a-z]*,? (?=\d)", "")
     df = df.withColumn("s", F.regexp_replace(body, r"^(\d{8})t(\d{2})(\d{2})(\d{2})(?!\d)", "$1t$2:$3:$4"))
     s = F.col("s")
-    df = df.withColumns({"clock": F.coalesce(s.rlike(CLOCK), F.lit(False)), "halves": F.split(s, r" ?/ ?")})
+    # One pass of the pattern takes a clock time apart; other texts stay in one piece.
+    df = df.withColumns({"parts": F.split(F.regexp_replace(s, CLOCK, PART.join(f"${k}" for k in range(1, 10))), PART), "halves": F.split(s, r" ?/ ?")})
+    df = df.withColumn("clock", F.coalesce(F.size("parts") == 9, F.lit(False)))
     clock = F.col("clock")
-    g = lambda k: F.when(clock, F.regexp_extract(s, CLOCK, k))
+    g = lambda k: F.when(clock, F.get("parts", F.lit(k - 1)))
     is_range = F.coalesce((F.size("halves") == 2) & ~clock, F.lit(False))
     df = df.withColumns(
         {"is_range": is_range, "a": F.when(clock, F.regexp_replace(g(1), r"[ ,]+$", "")).when(is_range, F.get("halves", F.lit(0))).otherwise(s), "b": F.when(is_range, F.get("halves", F.lit(1)))}

@@ -21,11 +21,18 @@ def texts():
     return ["", " ", "\n\n  x", "<|endoftext|>", "a" * 3000, " " * 900, "ß漢字🎉 é é", "it's I'LL we'd"] + [make(rng.randrange(900), a) for a in ("ab", "the quick brown ", "aé漢🎉\n\t 1'", "ACGT") for _ in range(25)]
 
 
-def test_matrix_and_heap_equal_the_library(library):
+def test_matrices_equal_the_library(library):
     got = list(Vocabulary(PATH).encode(texts()))
     assert got == [library.encode_ordinary(t) for t in texts()]
 
 
+def test_long_pieces(library):
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice(a) for _ in range(n)) for a in ("ab", "abcdefghijklmnopqrstuvwxyz", "aé漢") for n in (513, 5000)]
+    pieces += ["a" * 1_000_000, "".join(rng.choice("acgt") for _ in range(100_000))]
+    assert list(Vocabulary(PATH).encode(pieces)) == [library.encode_ordinary(t) for t in pieces]
+
+
 def test_other_vocabulary_round_trip():
     path = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
     back = {int(b): base64.b64decode(a) for a, b in map(bytes.split, open(path, "rb"))}

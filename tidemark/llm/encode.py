@@ -26,9 +26,10 @@ TOKENIZERS = "/opt/tokenizers"
 #: How texts are cut into pieces before merging. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
-#: Pieces above this many bytes are merged with a heap instead of a matrix.
+#: Pieces above this many bytes have a matrix of their own.
 LONG_PIECE = 512
-KEPT_PIECES = 200_000
+#: Bytes of pieces whose ids are kept for the next texts.
+KEPT_BYTES = 2_000_000
 
 
 class PairTable:
@@ -79,6 +80,7 @@ class Vocabulary:
         pairs = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() if len(t) > 1 for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.pairs = PairTable(*(np.array(x, np.int64) for x in zip(*pairs, strict=True)))
         self.known: dict[str, list[int]] = {}
+        self.known_bytes = 0
 
     def _merge_matrix(self, ids: np.ndarray) -> list[list[int]]:
         """Rows of byte ids, padded with -1, merged until no pair has a rank."""
@@ -110,34 +112,64 @@ class Vocabulary:
                 ranks[each[ok], side[ok]] = self.pairs.lookup(ids[each[ok], side[ok]], ids[each[ok], side[ok] + 1])
         return done  # type: ignore[return-value]
 
-    def _merge_long(self, piece: bytes) -> list[int]:
-        """The same merges of one long piece, with a heap over a linked list."""
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        first = self.pairs.lookup(np.array(ids[:-1]), np.array(ids[1:]))
-        heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != NO_RANK]
-        heapq.heapify(heap)
-        rank = lambda a, b: int(self.pairs.lookup(np.array([a]), np.array([b]))[0])
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i] if ids[i] == a else len(ids)
-            if j >= len(ids) or ids[j] != b:
+    def _merge_long(self, ids: np.ndarray) -> list[int]:
+        """The same merges of one long piece.
+
+        Places are kept by the rank of their pair. All places of the least rank
+        merge in one round, the leftmost of those that overlap; if that makes a
+        pair of lower rank, only the leftmost of all merges. Places are linked, so
+        a round costs as much as it merges, not as much as the piece is long.
+        """
+        n = len(ids)
+        ids, after, before = ids.copy(), np.arange(1, n + 1), np.arange(-1, n)
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def wait(places: np.ndarray, ranks: np.ndarray) -> None:
+            places, ranks = places[ranks != NO_RANK], ranks[ranks != NO_RANK]
+            order = np.argsort(ranks, kind="stable")
+            cuts = np.flatnonzero(np.diff(ranks[order])) + 1
+            for some in np.split(places[order], cuts) if len(order) else []:
+                rank = int(self.pairs.lookup(ids[some[:1]], ids[after[some[:1]]])[0])
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heapq.heappush(queue, rank)
+                waiting[rank].append(some)
+
+        wait(np.arange(n - 1), self.pairs.lookup(ids[:-1], ids[1:]))
+        while queue:
+            least = heapq.heappop(queue)
+            at = np.unique(np.concatenate(waiting.pop(least)))
+            at = at[(ids[at] >= 0) & (after[at] < n)]
+            at = at[self.pairs.lookup(ids[at], ids[after[at]]) == least]
+            # In a run of overlapping places every second one merges.
+            run = np.flatnonzero(np.concatenate([[True], after[at[:-1]] != at[1:]])) if len(at) else at
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0]
+            for some in (at, at[:1]) if len(at) else ():
+                right, first = after[some], ids[some]
+                second, beyond = ids[right], after[right]
+                ids[some], ids[right], after[some], before[beyond] = least, -1, beyond, some
+                left, on = before[some], some[beyond < n]
+                left = left[left >= 0]
+                ranks = [self.pairs.lookup(ids[x], ids[after[x]]) for x in (left, on)]
+                if len(some) == 1 or not any((r < least).any() for r in ranks):
+                    break
+                before[beyond], after[some], ids[right], ids[some] = right, right, second, first
+                wait(at[1:], np.full(len(at) - 1, least))
+            else:
                 continue
-            ids[i], ids[j], after[i] = r, -1, after[j]
-            if after[i] < len(ids):
-                before[after[i]] = i
-            for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < len(ids) and (q := rank(ids[x], ids[y])) != NO_RANK:
-                    heapq.heappush(heap, (q, x, ids[x], ids[y]))
-        return [x for x in ids if x >= 0]
+            for x, r in zip((left, on), ranks, strict=True):
+                wait(x, r)
+        return ids[ids >= 0].tolist()
 
     def learn(self, pieces: list[str]) -> None:
         """Put the ids of distinct pieces into ``known``."""
         by_width: dict[int, list[tuple[str, bytes]]] = {}
         for p in pieces:
             b = p.encode("utf-8", "replace")
+            self.known_bytes += len(b)
             if len(b) > LONG_PIECE:
-                self.known[p] = self._merge_long(b)
+                self.known[p] = self._merge_long(self.byte_ids[np.frombuffer(b, np.uint8)])
             else:
                 by_width.setdefault(max(2, 1 << (len(b) - 1).bit_length()), []).append((p, b))
         for width, some in by_width.items():
@@ -157,8 +189,9 @@ class Vocabulary:
                 size += len(texts[end])
                 end += 1
             cut = [self.cut(t) for t in texts[start:end]]
-            if len(self.known) > KEPT_PIECES:
+            if self.known_bytes > KEPT_BYTES:
                 self.known.clear()
+                self.known_bytes = 0
             self.learn(list({p for c in cut for p in c} - self.known.keys()))
             known = self.known
             for c in cut:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ranks import value_rank
+from tidemark.session import checkpointed, if_small
 
 
 def after_burnin(df: DataFrame, chain: str, order: str, fraction: float, every: int = 1) -> DataFrame:
@@ -43,46 +44,51 @@ def overlaps(df: DataFrame, chain: str, value: str, bins: int = 100) -> DataFram
     # Values are counted before they meet the pairs, so a chain's rows are not repeated per pair.
     values = df.where(F.col(value).isNotNull()).groupBy(chain, value).agg(F.count(F.lit(1)).alias("c"))
     bin_ = F.least(F.floor((F.col(value) - F.col("lo")) / F.nullif((F.col("hi") - F.col("lo")) / bins, F.lit(0.0))), F.lit(bins - 1))
-    shares = values.join(F.broadcast(sided), chain).groupBy("a", "b", F.coalesce(bin_, F.lit(0)).alias("bin")).agg(*(F.sum(F.when(F.col("side") == s, F.col("c") / F.col("n")).otherwise(0.0)).alias(f"p{s}") for s in (0, 1)))
+    shares = values.join(if_small(checkpointed(sided)), chain).groupBy("a", "b", F.coalesce(bin_, F.lit(0)).alias("bin")).agg(*(F.sum(F.when(F.col("side") == s, F.col("c") / F.col("n")).otherwise(0.0)).alias(f"p{s}") for s in (0, 1)))
     return shares.groupBy(F.col("a").alias("chain_a"), F.col("b").alias("chain_b")).agg(F.round(F.sum(F.least("p0", "p1")), 6).alias("overlap"))
 
 
 def effective_sizes(df: DataFrame, chain: str, order: str, value: str, max_lag: int = 2000, block: int = 50_000) -> DataFrame:
     """chain, n, ess: effective sample size from the autocovariance, summed in pairs of lags while positive, at most n.
 
-    Chains are cut into blocks that carry the first ``max_lag`` rows of the next
-    block along; products by lag are summed over blocks, so no task holds more
-    than a block.
+    The products of a lag are summed and divided by their number, n - lag; lags
+    run up to the lesser of n and ``max_lag``, that one left out. Chains of under
+    ten values, or of one value only, count whole. Chains are cut into blocks that
+    carry the first ``max_lag`` rows of the next block along; products by lag are
+    summed over blocks, so no task holds more than a block.
     """
-    ranked = value_rank(df.where(F.col(value).isNotNull()), [chain], order, order).select(chain, "rank", F.col(value).alias("v"))
-    means = ranked.groupBy(chain).agg(F.avg("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    rows = ranked.join(F.broadcast(means), chain).select(chain, "n", (F.col("rank") - 1).alias("i"), (F.col("v") - F.col("m")).alias("x"))
+    rows = df.where(F.col(value).isNotNull()).select(F.col(chain).alias("_chain"), F.col(order).alias("_order"), F.col(value).cast("double").alias("v"))
+    ranked = value_rank(rows, ["_chain"], "_order", "_order")
+    means = checkpointed(ranked.groupBy("_chain").agg(F.avg("v").alias("m"), F.count(F.lit(1)).alias("n")))
+    rows = ranked.join(if_small(means), "_chain").select("_chain", "n", (F.col("rank") - 1).alias("i"), (F.col("v") - F.col("m")).alias("x"))
     own = F.floor(F.col("i") / block)
     tail = F.when((own > 0) & (F.col("i") % block < max_lag), F.array(own, own - 1)).otherwise(F.array(own))
-    blocks = rows.select(chain, "n", "i", "x", F.explode(tail).alias("block"))
+    blocks = rows.select("_chain", "n", "i", "x", F.explode(tail).alias("block"))
 
     def products(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i")
         x, head = pdf.x.to_numpy(), int((pdf.i < (pdf.block.iloc[0] + 1) * block).sum())
         size = 1 << int(np.ceil(np.log2(len(x) + head + 1)))
-        full = np.fft.irfft(np.conj(np.fft.rfft(x[:head], size)) * np.fft.rfft(x, size), size)[: min(max_lag, len(x) - 1) + 1]
-        return pd.DataFrame({chain: pdf[chain].iloc[0], "n": pdf.n.iloc[0], "lag": np.arange(len(full)), "c": full})
+        full = np.fft.irfft(np.conj(np.fft.rfft(x[:head], size)) * np.fft.rfft(x, size), size)[: min(max_lag, len(x))]
+        return pd.DataFrame({"_chain": pdf._chain.iloc[0], "n": pdf.n.iloc[0], "lag": np.arange(len(full)), "c": full})
 
     kind = dict(df.dtypes)[chain]
-    lags = blocks.groupBy(chain, "block").applyInPandas(products, f"{chain} {kind}, n long, lag long, c double").groupBy(chain, "n", "lag").agg(F.sum("c").alias("c"))
+    lags = blocks.groupBy("_chain", "block").applyInPandas(products, f"_chain {kind}, n long, lag long, c double").groupBy("_chain", "n", "lag").agg(F.sum("c").alias("c"))
 
     def tau(pdf: pd.DataFrame) -> pd.DataFrame:
-        c, n = pdf.sort_values("lag").c.to_numpy(), int(pdf.n.iloc[0])
-        rho = c / c[0] if c[0] > 0 else np.array([1.0])
-        total = 0.0
-        for k in range(1, len(rho) - 1, 2):
-            pair = rho[k] + rho[k + 1]
+        pdf = pdf.sort_values("lag")
+        n = int(pdf.n.iloc[0])
+        cov = pdf.c.to_numpy() / (n - pdf.lag.to_numpy())
+        total = cov[0]
+        for lag in range(2, len(cov), 2):
+            pair = cov[lag - 1] + cov[lag]
             if pair <= 0:
                 break
-            total += pair
-        return pd.DataFrame({chain: [pdf[chain].iloc[0]], "n": [n], "ess": [min(float(n), n / (1 + 2 * total))]})
+            total += 2 * pair
+        whole = n < 10 or cov[0] <= 0 or total <= 0
+        return pd.DataFrame({"_chain": [pdf._chain.iloc[0]], "n": [n], "ess": [float(n) if whole else min(float(n), n * cov[0] / total)]})
 
-    return lags.groupBy(chain).applyInPandas(tau, f"{chain} {kind}, n long, ess double")
+    return lags.groupBy("_chain").applyInPandas(tau, f"_chain {kind}, n long, ess double").withColumnRenamed("_chain", chain)
 
 
 def convergence(sizes: DataFrame, shared: DataFrame, min_ess: float = 200.0, min_overlap: float = 0.5) -> DataFrame:
@@ -97,7 +103,9 @@ def randomisation_verdict(intervals: DataFrame, means: DataFrame, chain: str, re
     """One row: how the real chain stands against the others (replicates).
 
     ``pass`` if no replicate's interval overlaps the real one, ``weak`` if the
-    real mean lies outside the replicates' means, else ``fail``.
+    real mean lies outside the envelope of all replicates' intervals, else
+    ``fail``. (The range of the replicates' means would not do: it narrows with
+    the number of samples, so nearly any mean would lie outside.)
     """
     rows = intervals.join(means, chain)
     is_real = F.col(chain) == real
@@ -105,10 +113,10 @@ def randomisation_verdict(intervals: DataFrame, means: DataFrame, chain: str, re
     other = rows.where(~is_real).withColumn("k", F.lit(1)).join(F.broadcast(own), "k")
     out = other.groupBy("rlo", "rhi", "rmean").agg(
         F.count(F.lit(1)).alias("n_replicates"), F.count_if((F.col("lo") <= F.col("rhi")) & (F.col("rlo") <= F.col("hi"))).alias("n_overlapping"),
-        F.min("mean").alias("lo_mean"), F.max("mean").alias("hi_mean"), F.round(F.stddev_pop("mean"), 6).alias("spread"),
+        F.min("lo").alias("envelope_lo"), F.max("hi").alias("envelope_hi"), F.round(F.stddev_pop("mean"), 6).alias("spread"),
     )
-    verdict = F.when(F.col("n_overlapping") == 0, "pass").when(~F.col("rmean").between(F.col("lo_mean"), F.col("hi_mean")), "weak").otherwise("fail")
-    return out.select("n_replicates", "n_overlapping", F.round("rmean", 6).alias("real_mean"), F.round("lo_mean", 6).alias("lo_mean"), F.round("hi_mean", 6).alias("hi_mean"), "spread", verdict.alias("verdict"))
+    verdict = F.when(F.col("n_overlapping") == 0, "pass").when(~F.col("rmean").between(F.col("envelope_lo"), F.col("envelope_hi")), "weak").otherwise("fail")
+    return out.select("n_replicates", "n_overlapping", F.round("rmean", 6).alias("real_mean"), F.round("envelope_lo", 6).alias("envelope_lo"), F.round("envelope_hi", 6).alias("envelope_hi"), "spread", verdict.alias("verdict"))
 
 
 def randomisation_checked(intervals: DataFrame, means: DataFrame, sizes: DataFrame, chain: str, real: str, min_ess: float = 100.0) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import day_number, days_in_month, is_leap, month_number
 
 #: Texts that say that a date is not known. Fixed values.
-UNKNOWN_DATES = ("unknown", "not collected", "not applicable", "n/a", "na", "none", "missing", "not provided", "not recorded", "null", "-", "?")
+UNKNOWN_DATES = ("unknown", "not collected", "missing", "n/a", "na", "none", "null")
 
 
 def tidy_host(text: Column) -> Column:

@@ -57,11 +57,13 @@ def permutation_p(df: DataFrame, group: str, key: str, x: str, y: str, replicate
 def temporal_signal(df: DataFrame, group: str, key: str, x: str, y: str, replicates: int = 1000, min_r2: float = 0.1, min_span: float = 5.0, max_concentration: float = 0.75) -> DataFrame:
     """Regression, sampling diagnostics, permutation p and verdict of each group.
 
-    ``fail``: no positive slope, p above 0.05 or too short a span; ``weak``: low
+    ``fail``: no positive slope, p above 0.05 or too short a span, or a slope near
+    -1 with a high r_squared (lengths are years and run backwards); ``weak``: low
     r_squared or most rows within ten years; else ``pass``.
     """
     out = regressions(df, group, x, y).join(sampling_diagnostics(df, group, x), group).join(permutation_p(df, group, key, x, y, replicates), group)
-    verdict = F.when((F.col("slope") <= 0) | (F.col("p") > 0.05) | (F.col("span") < min_span), "fail").when((F.col("r_squared") < min_r2) | (F.col("densest") > max_concentration), "weak").otherwise("pass")
+    inverted = (F.abs(F.col("slope") + 1) < 0.05) & (F.col("r_squared") > 0.8)
+    verdict = F.when(inverted | (F.col("slope") <= 0) | (F.col("p") > 0.05) | (F.col("span") < min_span), "fail").when((F.col("r_squared") < min_r2) | (F.col("densest") > max_concentration), "weak").otherwise("pass")
     return out.select(group, "n", *(F.round(c, 6).alias(c) for c in ("slope", "r_squared", "span", "occupancy", "densest", "p")), verdict.alias("verdict"))
 
 
@@ -71,22 +73,53 @@ def rayleigh(df: DataFrame, group: str, phase: str) -> DataFrame:
     agg = df.where(F.col(phase).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(F.cos(angle)).alias("c"), F.avg(F.sin(angle)).alias("s"))
     agg = agg.withColumn("r", F.sqrt(F.col("c") ** 2 + F.col("s") ** 2)).withColumn("z", F.col("n") * F.col("r") ** 2)
     z, n = F.col("z"), F.col("n")
-    p = F.exp(-z) * (1 + (2 * z - z**2) / (4 * n) - (24 * z - 132 * z**2 + 76 * z**3 - 9 * z**4) / (288 * n**2))
+    p = F.exp(-z) * (1 + (2 * z - z**2) / (4 * n))
     few = n < 8
     return agg.select(group, "n", F.round(F.when(few, 0.0).otherwise(F.col("r")), 6).alias("r"), F.round(F.when(few, 0.0).otherwise(z), 6).alias("z"), F.round(F.when(few, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))), 6).alias("p"))
 
 
-def date_policies(records: DataFrame, group: str) -> DataFrame:
-    """By group: share of imprecise dates, mean half width, and the policy: ``exact``, ``interval``, ``midpoint`` or ``exclude``.
+#: Half width in years of a date by its precision; others count as ``unknown``. Fixed values.
+HALF_WIDTHS = {"day": 0.5 / 365.25, "month": 0.5 / 12, "year": 0.5, "range": 0.5, "unknown": 0.5}
+PRECISE = ("day", "month")
 
-    Few imprecise dates (under 10 %) may be left out, a great mean width calls
-    for intervals, else the midpoint will do.
+
+def date_policies(records: DataFrame, group: str, year: str = "decimal_year", precision: str = "date_precision", substitutions: float | None = None, floor: float = 0.3, ceiling: float = 1.0, alpha: float = 0.05, max_shift: float = 0.08, exclude: float = 0.1) -> DataFrame:
+    """By group, how imprecise dates are to be used: ``midpoint`` or ``interval``, and how sure that is.
+
+    Columns: group, n, n_imprecise, imprecise_share, mean_half_width, n_precise, r,
+    p (Rayleigh test on the precise dates within their year), shift (their mean
+    place in the year less a half), seasonal, policy, confidence. In this order:
+    no imprecise date, ``midpoint`` strong; a share under ``exclude`` without
+    seasonal bias, the same; seasonal bias (p below ``alpha`` and a shift beyond
+    ``max_shift``, from eight precise dates on), ``interval`` strong; without
+    ``substitutions`` (those of a genome in a year), ``midpoint`` marginal; at
+    least ``ceiling`` of them, ``interval``, strong from a share of a half on, else
+    moderate; under ``floor``, ``midpoint`` strong; else ``interval`` marginal.
+    Rows without a year don't count.
     """
-    rows = records.where("decimal_year is not null")
-    imprecise = F.col("date_uncertainty_years") > 0.01
-    out = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(imprecise.cast("int")).alias("i"), F.avg("date_uncertainty_years").alias("w"))
-    policy = F.when(F.col("i") == 0, "exact").when(F.col("i") < 0.1, "exclude").when(F.col("w") > 0.15, "interval").otherwise("midpoint")
-    return out.select(group, "n", F.round("i", 6).alias("imprecise_share"), F.round("w", 6).alias("mean_half_width"), policy.alias("policy"))
+    kind = F.when(F.col(precision).isin(*HALF_WIDTHS), F.col(precision)).otherwise("unknown")
+    rows = records.where(F.col(year).isNotNull()).select(F.col(group).alias("_g"), F.col(year).alias("y"), kind.alias("kind"))
+    width = F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in HALF_WIDTHS.items()))
+    precise = F.col("kind").isin(*PRECISE)
+    phase = F.when(precise, F.col("y") - F.floor("y"))
+    angle = phase * (2 * math.pi)
+    agg = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.count_if(~precise).alias("n_imprecise"), F.avg(width).alias("w"), F.count_if(precise).alias("n_precise"), F.avg(F.cos(angle)).alias("c"), F.avg(F.sin(angle)).alias("s"), F.avg(phase).alias("mean"))
+    enough = F.col("n_precise") >= 8
+    agg = agg.withColumns({"share": F.col("n_imprecise") / F.col("n"), "r": F.when(enough, F.sqrt(F.col("c") ** 2 + F.col("s") ** 2))})
+    z = F.col("n_precise") * F.col("r") ** 2
+    agg = agg.withColumns({"p": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(-z) * (1 + (2 * z - z**2) / (4 * F.col("n_precise"))))), "shift": F.when(enough, F.col("mean") - 0.5)})
+    p = F.when(enough, F.col("p"))
+    seasonal = F.coalesce((p < alpha) & (F.abs("shift") > max_shift), F.lit(False))
+    answer = lambda policy, confidence: F.struct(F.lit(policy).alias("policy"), F.lit(confidence).alias("confidence"))
+    chosen = F.when(F.col("n_imprecise") == 0, answer("midpoint", "strong")).when((F.col("share") < exclude) & ~seasonal, answer("midpoint", "strong")).when(seasonal, answer("interval", "strong"))
+    if substitutions is None:
+        chosen = chosen.otherwise(answer("midpoint", "marginal"))
+    elif substitutions >= ceiling:
+        chosen = chosen.when(F.col("share") < 0.5, answer("interval", "moderate")).otherwise(answer("interval", "strong"))
+    else:
+        chosen = chosen.otherwise(answer("midpoint", "strong") if substitutions < floor else answer("interval", "marginal"))
+    six = lambda c, name: F.round(c, 6).alias(name)
+    return agg.select(F.col("_g").alias(group), "n", "n_imprecise", six("share", "imprecise_share"), six("w", "mean_half_width"), "n_precise", six("r", "r"), six(p, "p"), six("shift", "shift"), seasonal.alias("seasonal"), chosen.alias("a")).select("*", "a.*").drop("a")
 
 
 def verdict_changes(table: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def rayleigh_season(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def date_policy(spark: SparkSession, sf: str) -> DataFrame:
-    return gates.date_policies(read_table(spark, sf, "metadata_all"), "host_group")
+    return gates.date_policies(read_table(spark, sf, "metadata_all"), "host_group", substitutions=1.4)
 
 
 def burnin_thin(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,10 +163,18 @@ SELECT o_orderpriority, n, round(slope, 6) AS slope, round(r_squared, 6) AS r_sq
 WITH a AS (SELECT o_orderpriority, count(*) AS n, avg(cos(2 * pi() * ({_YEAR} - year(o_orderdate)))) AS c, avg(sin(2 * pi() * ({_YEAR} - year(o_orderdate)))) AS s FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
 b AS (SELECT *, sqrt(c * c + s * s) AS r, n * (c * c + s * s) AS z FROM a)
 SELECT o_orderpriority, n, round(CASE WHEN n < 8 THEN 0 ELSE r END, 6) AS r, round(CASE WHEN n < 8 THEN 0 ELSE z END, 6) AS z,
-  round(CASE WHEN n < 8 THEN 1 ELSE greatest(0, least(1, exp(-z) * (1 + (2 * z - z ** 2) / (4 * n) - (24 * z - 132 * z ** 2 + 76 * z ** 3 - 9 * z ** 4) / (288 * n ** 2)))) END, 6) AS p FROM b""",
+  round(CASE WHEN n < 8 THEN 1 ELSE greatest(0, least(1, exp(-z) * (1 + (2 * z - z ** 2) / (4 * n)))) END, 6) AS p FROM b""",
     "date_policy": """
-WITH a AS (SELECT host_group, count(*) AS n, avg(CAST(date_uncertainty_years > 0.01 AS INT)) AS i, avg(date_uncertainty_years) AS w FROM metadata_all WHERE decimal_year IS NOT NULL GROUP BY 1)
-SELECT host_group, n, round(i, 6) AS imprecise_share, round(w, 6) AS mean_half_width, CASE WHEN i = 0 THEN 'exact' WHEN i < 0.1 THEN 'exclude' WHEN w > 0.15 THEN 'interval' ELSE 'midpoint' END AS policy FROM a""",
+WITH a AS (SELECT host_group, decimal_year - floor(decimal_year) AS w, coalesce(date_precision IN ('day', 'month'), false) AS fine,
+                  CASE date_precision WHEN 'day' THEN 0.5 / 365.25 WHEN 'month' THEN 0.5 / 12 ELSE 0.5 END AS half FROM metadata_all WHERE decimal_year IS NOT NULL),
+b AS (SELECT host_group, count(*) AS n, count(*) FILTER (NOT fine) AS ni, count(*) FILTER (fine) AS np, avg(CAST(half AS DOUBLE)) AS half,
+             avg(cos(2 * pi() * w)) FILTER (fine) AS c, avg(sin(2 * pi() * w)) FILTER (fine) AS s, avg(w) FILTER (fine) AS m FROM a GROUP BY 1),
+c AS (SELECT *, ni / n AS share, CASE WHEN np >= 8 THEN sqrt(c * c + s * s) END AS r, CASE WHEN np >= 8 THEN m - 0.5 END AS shift FROM b),
+d AS (SELECT *, CASE WHEN np >= 8 THEN greatest(0, least(1, exp(-np * r * r) * (1 + (2 * np * r * r - (np * r * r) ** 2) / (4 * np)))) END AS p FROM c),
+e AS (SELECT *, coalesce(p < 0.05 AND abs(shift) > 0.08, false) AS seasonal FROM d)
+SELECT host_group, n, ni AS n_imprecise, round(share, 6) AS imprecise_share, round(half, 6) AS mean_half_width, np AS n_precise, round(r, 6) AS r, round(p, 6) AS p, round(shift, 6) AS shift, seasonal,
+  CASE WHEN ni = 0 OR (share < 0.1 AND NOT seasonal) THEN 'midpoint' ELSE 'interval' END AS policy,
+  CASE WHEN ni = 0 OR share < 0.1 OR seasonal OR share >= 0.5 THEN 'strong' ELSE 'moderate' END AS confidence FROM e""",
     "burnin_thin": """
 WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 - round_even(count(*) OVER (PARTITION BY event_type) * 0.1, 0) AS i FROM events)
 SELECT event_type, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id, CAST(max(i) / 3 AS BIGINT) AS last_idx FROM r WHERE i >= 0 AND i % 3 = 0 GROUP BY 1""",
@@ -178,8 +186,8 @@ v AS (SELECT a, b, least(floor((value - lo) / ((hi - lo) / 100)), 99) AS bin, su
 SELECT a AS chain_a, b AS chain_b, round(sum(least(pa, pb)), 6) AS overlap FROM v GROUP BY 1, 2""",
     "drt_gate": _HPD
     + """, m AS (SELECT event_type, avg(value) AS mean FROM events GROUP BY 1), j AS (SELECT h.*, mean FROM h JOIN m USING (event_type)), o AS (SELECT * FROM j WHERE event_type = 'click'),
-z AS (SELECT count(*) AS n_replicates, count(*) FILTER (j.lo <= o.hi AND o.lo <= j.hi) AS n_overlapping, any_value(o.mean) AS rm, min(j.mean) AS lo_mean, max(j.mean) AS hi_mean, stddev_pop(j.mean) AS spread FROM j, o WHERE j.event_type <> 'click')
-SELECT n_replicates, n_overlapping, round(rm, 6) AS real_mean, round(lo_mean, 6) AS lo_mean, round(hi_mean, 6) AS hi_mean, round(spread, 6) AS spread, CASE WHEN n_overlapping = 0 THEN 'pass' WHEN rm < lo_mean OR rm > hi_mean THEN 'weak' ELSE 'fail' END AS verdict FROM z""",
+z AS (SELECT count(*) AS n_replicates, count(*) FILTER (j.lo <= o.hi AND o.lo <= j.hi) AS n_overlapping, any_value(o.mean) AS rm, min(j.lo) AS elo, max(j.hi) AS ehi, stddev_pop(j.mean) AS spread FROM j, o WHERE j.event_type <> 'click')
+SELECT n_replicates, n_overlapping, round(rm, 6) AS real_mean, round(elo, 6) AS envelope_lo, round(ehi, 6) AS envelope_hi, round(spread, 6) AS spread, CASE WHEN n_overlapping = 0 THEN 'pass' WHEN rm < elo OR rm > ehi THEN 'weak' ELSE 'fail' END AS verdict FROM z""",
     "state_through_time": _STT + "SELECT * FROM x",
     "enrichment_thirds": _STT
     + """, v AS (SELECT * FROM x WHERE total >= 3), q AS (SELECT slice, row_number() OVER (ORDER BY slice) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT slice FROM v)),

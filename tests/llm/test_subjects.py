@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.subjects import SubjectSpec, document_subjects, leaf_terms
 
@@ -48,3 +50,15 @@ def test_empty_tables(tables):
     assert document_subjects(docs.where("false"), subjects, labels).count() == 0
     assert document_subjects(docs.where("text is null"), subjects, labels).count() == 0
     assert document_subjects(docs, subjects, labels.where("false"), SubjectSpec(leaves=6)).count() == 0
+
+
+def test_subjects_come_from_the_leaves(tables, monkeypatch):
+    docs, subjects, labels, truth = tables
+
+    def by_chance(rows, spec):
+        return rows.select("doc_id").distinct().select("doc_id", (F.abs(F.xxhash64("doc_id")) % 24).cast("int").alias("leaf")), np.eye(24)
+
+    monkeypatch.setattr("tidemark.llm.subjects.document_leaves", by_chance)
+    found = {(r.doc_id, r.subject) for r in document_subjects(docs, subjects, labels, SubjectSpec(leaves=24)).collect()}
+    want = {(i, s) for i in truth for s in truth[i]}
+    assert len(want & found) < 0.6 * len(want)

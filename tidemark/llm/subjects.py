@@ -6,14 +6,14 @@
    told by the titles they stand in.
 2. Documents become normalised tf-idf vectors over topical words and are
    clustered by bisecting k-means.
-3. Leaves get a mixture of subjects from the labelled documents they hold, and
-   topical words a mixture from the leaves they stand in; the words with the
-   greatest lift are the discriminative terms that label a leaf.
+3. Leaves get a mixture of subjects from the labelled documents they hold and from
+   the leaves near them, and topical words a mixture from the leaves they stand in;
+   the words with the greatest lift are the discriminative terms that label a leaf.
 4. A sentence treats the subject that the mixtures of its words agree on. The
-   mixtures of words are drawn twice again from the sentences of their documents,
-   so words that shared a leaf by chance fall to their own subject. Labelled
-   documents weigh more, and ``none`` takes part as one more subject until the
-   end, so words of advertising and the like don't fall to a real one.
+   mixtures of words are drawn once again from the sentences of their documents,
+   so words that shared a leaf by chance fall to their own subject. ``none`` takes
+   part as one more subject until the end, so words of advertising and the like
+   don't fall to a real one.
 5. A document has the subjects that at least two of its sentences treat.
 
 Counts, vectors and leaves cover all documents. Only the subject mixture of a
@@ -24,6 +24,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.sql import Column, DataFrame, Window
@@ -39,16 +41,17 @@ SENTENCE_END = r"(?<=[.!?…])[\s\p{Z}]+|[\r\n]+"
 class SubjectSpec:
     leaves: int = 192
     iterations: int = 6
-    features: int = 2048
+    features: int = 4096
     min_documents: int = 5
     burst: tuple[float, float] = (1.4, 15.0)
     title_share: float = 0.05
+    divisible: float = 5.0
     prior_weight: float = 2.0
+    nearness: float = 2.0
     vote: float = 2.0
     margin: float = 1.5
     min_sentences: int = 2
-    rounds: int = 2
-    label_weight: float = 4.0
+    rounds: int = 1
     seed: int = 3
 
 
@@ -75,7 +78,8 @@ def topical_words(docs: DataFrame, spec: SubjectSpec) -> DataFrame:
 
     burst is the share of a word's documents that use it in two sentences or
     more, over the greatest share of a language's documents that use it at all
-    (languages with under one in a hundred documents aside).
+    (languages with under one in a hundred documents aside; for words that only
+    such a language uses, over their share of all documents).
     """
     flat = docs.select("lang", "named", F.sort_array(F.flatten("sets")).alias("all"))
     again = F.expr("array_distinct(filter(all, (x, i) -> i > 0 and all[i - 1] = x))")
@@ -84,9 +88,9 @@ def topical_words(docs: DataFrame, spec: SubjectSpec) -> DataFrame:
     rows = flat.select("lang", F.explode(F.concat(marked(once, 1), marked(again, 2), marked(named, 3))).alias("x")).select("lang", "x.w", "x.k")
     stats = rows.groupBy("w", "lang").agg(*(F.count_if(F.col("k") == k).alias(c) for k, c in ((1, "n1"), (2, "n2"), (3, "nt"))))
     sizes = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("nl"))
-    sizes = sizes.withColumn("large", F.col("nl") * 100 >= F.sum("nl").over(Window.partitionBy()))
-    rate = F.max(F.when(F.col("large"), F.col("n1") / F.col("nl")))
-    words = stats.join(F.broadcast(sizes), "lang").groupBy("w").agg(F.sum("n1").alias("n_docs"), F.sum("n2").alias("n2"), F.sum("nt").alias("nt"), rate.alias("rate"))
+    sizes = checkpointed(sizes.withColumn("all", F.sum("nl").over(Window.partitionBy())))
+    rate = F.coalesce(F.max(F.when(F.col("nl") * 100 >= F.col("all"), F.col("n1") / F.col("nl"))), F.sum("n1") / F.max("all"))
+    words = stats.join(if_small(sizes), "lang").groupBy("w").agg(F.sum("n1").alias("n_docs"), F.sum("n2").alias("n2"), F.sum("nt").alias("nt"), rate.alias("rate"))
     words = words.withColumn("burst", F.col("n2") / (F.col("n_docs") + 2) / F.col("rate"))
     return words.where((F.col("n_docs") >= spec.min_documents) & F.col("burst").between(*spec.burst) & (F.col("nt") <= spec.title_share * F.col("n_docs"))).select("w", "n_docs", "burst")
 
@@ -97,52 +101,53 @@ def topical_rows(docs: DataFrame, words: DataFrame) -> DataFrame:
     return rows.join(if_small(words.select("w")), "w")
 
 
-def document_leaves(rows: DataFrame, spec: SubjectSpec) -> DataFrame:
-    """doc_id, leaf: bisecting k-means over normalised tf-idf vectors of topical words."""
+def document_leaves(rows: DataFrame, spec: SubjectSpec) -> tuple[DataFrame, np.ndarray]:
+    """doc_id, leaf by bisecting k-means over normalised tf-idf vectors of topical words, and the cosines between the leaves' centres."""
     bags = rows.groupBy("doc_id").agg(F.collect_list("w").alias("words"))
-    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=spec.features).transform(bags).select("doc_id", "tf")
-    counted = checkpointed(counted)
+    counted = checkpointed(HashingTF(inputCol="words", outputCol="tf", numFeatures=spec.features).transform(bags).select("doc_id", "tf"))
     weighted = IDF(inputCol="tf", outputCol="weighted").fit(counted).transform(counted)
-    vectors = Normalizer(inputCol="weighted", outputCol="features").transform(weighted).select("doc_id", "features")
-    model = BisectingKMeans(k=spec.leaves, maxIter=spec.iterations, seed=spec.seed, minDivisibleClusterSize=20.0).fit(vectors)
-    return model.transform(vectors).select("doc_id", F.col("prediction").alias("leaf"))
-
-
-def leaf_mixtures(leaves: DataFrame, labels: DataFrame, subjects: list[str], spec: SubjectSpec) -> DataFrame:
-    """leaf, p_0 .. : shares of the subjects among the labelled documents of a leaf, drawn to the overall shares."""
+    # Every pass of the clustering reads the vectors; a part that is lost comes again from the checkpoint.
+    vectors = Normalizer(inputCol="weighted", outputCol="features").transform(weighted).select("doc_id", "features").persist(StorageLevel.DISK_ONLY)
+    model = BisectingKMeans(k=spec.leaves, maxIter=spec.iterations, seed=spec.seed, minDivisibleClusterSize=spec.divisible).fit(vectors)
+    leaves = checkpointed(model.transform(vectors).select("doc_id", F.col("prediction").alias("leaf")))
+    vectors.unpersist()
+    centres = np.array(model.clusterCenters())
+    centres = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    return leaves, np.clip(centres @ centres.T, 0.0, 1.0)
+
+
+def leaf_mixtures(leaves: DataFrame, near: np.ndarray, labels: DataFrame, subjects: list[str], spec: SubjectSpec) -> DataFrame:
+    """leaf, p_0 .. : shares of the subjects among the labelled documents of a leaf.
+
+    Shares are drawn to those of the leaves whose centres are near, and these to
+    the overall shares, so a leaf without a label has the subjects of its
+    neighbours. The counts are of leaves by subjects, both few.
+    """
     marks = labels.select("doc_id", "subject").distinct().where(F.col("subject").isin(*subjects))
-    counts = leaves.join(marks, "doc_id", "left").groupBy("leaf").agg(*(F.count_if(F.col("subject") == s).alias(f"n_{i}") for i, s in enumerate(subjects)))
-    whole = Window.partitionBy()
-    total = sum((F.sum(f"n_{i}").over(whole) for i in range(len(subjects))), F.lit(0.0))
-    here = sum((F.col(f"n_{i}") for i in range(len(subjects))), F.lit(0.0))
-    prior = lambda i: F.sum(f"n_{i}").over(whole) / F.greatest(total, F.lit(1.0))
-    return counts.select("leaf", *(((F.col(f"n_{i}") + spec.prior_weight * prior(i)) / (here + spec.prior_weight)).alias(f"p_{i}") for i in range(len(subjects))))
+    counted = leaves.join(marks, "doc_id").groupBy("leaf", "subject").agg(F.count(F.lit(1)).alias("n"))
+    counts = np.zeros((len(near), len(subjects)))
+    for r in counted.collect():
+        counts[r.leaf, subjects.index(r.subject)] = r.n
+    prior = counts.sum(0) / max(counts.sum(), 1.0)
+    around = (near**spec.nearness) @ counts
+    around = (around + spec.prior_weight * prior * 0.1) / (around.sum(1, keepdims=True) + spec.prior_weight * 0.1)
+    shares = (counts + spec.prior_weight * around) / (counts.sum(1, keepdims=True) + spec.prior_weight)
+    return leaves.sparkSession.createDataFrame([(k, *map(float, row)) for k, row in enumerate(shares)], "leaf int, " + ", ".join(f"p_{i} double" for i in range(len(subjects))))
 
 
 def term_lifts(terms: DataFrame, subjects: list[str]) -> DataFrame:
-    """w, v_0 .. : log lift of each subject, from n and the sums s_0 .. of mixtures by word."""
+    """w, v_0 .. : log lift of each subject, from n and the sums s_0 .. of mixtures by word (``terms`` is read twice)."""
     k = range(len(subjects))
-    whole = Window.partitionBy()
-    prior = [F.sum(f"s_{i}").over(whole) / F.sum("n").over(whole) for i in k]
-    shares = terms.select("w", *((F.col(f"s_{i}") / F.col("n")).alias(f"p_{i}") for i in k), *(prior[i].alias(f"q_{i}") for i in k))
-    return shares.select("w", *(F.log((F.col(f"p_{i}") + 0.02) / (F.col(f"q_{i}") + 0.02)).alias(f"v_{i}") for i in k))
+    whole = terms.agg(F.sum("n").alias("n"), *(F.sum(f"s_{i}").alias(f"s_{i}") for i in k)).first()
+    prior = [(whole[f"s_{i}"] or 0.0) / (whole["n"] or 1) for i in k]
+    return terms.select("w", *(F.log((F.col(f"s_{i}") / F.col("n") + 0.02) / (prior[i] + 0.02)).alias(f"v_{i}") for i in k))
 
 
 def leaf_term_sums(pairs: DataFrame, leaves: DataFrame, mixtures: DataFrame, subjects: list[str]) -> DataFrame:
     """w, n, s_0 .. : documents of a word and the sums of the mixtures of their leaves."""
     per_leaf = pairs.join(leaves, "doc_id").groupBy("w", "leaf").agg(F.count(F.lit(1)).alias("n"))
     sums = (F.sum(F.col("n") * F.col(f"p_{i}")).alias(f"s_{i}") for i in range(len(subjects)))
-    return per_leaf.join(F.broadcast(mixtures), "leaf").groupBy("w").agg(F.sum("n").alias("n"), *sums)
-
-
-def with_labels(sums: DataFrame, pairs: DataFrame, labels: DataFrame, subjects: list[str], weight: float) -> DataFrame:
-    """``sums`` with the labelled documents of each word added, each as ``weight`` documents."""
-    k = range(len(subjects))
-    marks = labels.select("doc_id", "subject").distinct()
-    counts = marks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("all"), *(F.count_if(F.col("subject") == s).alias(f"c_{i}") for i, s in enumerate(subjects)))
-    shares = counts.select("doc_id", *((F.lit(weight) * F.col(f"c_{i}") / F.col("all")).alias(f"s_{i}") for i in k))
-    own = pairs.join(shares, "doc_id").select("w", F.lit(weight).alias("n"), *(f"s_{i}" for i in k))
-    return sums.unionByName(own).groupBy("w").agg(F.sum("n").alias("n"), *(F.sum(f"s_{i}").alias(f"s_{i}") for i in k))
+    return per_leaf.join(if_small(mixtures), "leaf").groupBy("w").agg(F.sum("n").alias("n"), *sums)
 
 
 def vote_term_sums(pairs: DataFrame, votes: DataFrame, subjects: list[str]) -> DataFrame:
@@ -176,15 +181,13 @@ def document_subjects(documents: DataFrame, subject_list: DataFrame, labels: Dat
     rows = checkpointed(topical_rows(docs, words))
     if len(subjects) < 2 or rows.isEmpty():
         return documents.sparkSession.createDataFrame([], documents.select("doc_id").schema.add("subject", "string").add("n_sentences", "long"))
-    leaves = checkpointed(document_leaves(rows, spec))
+    leaves, near = document_leaves(rows, spec)
     pairs = checkpointed(rows.select("doc_id", "w").distinct())
-    sums = leaf_term_sums(pairs, leaves, leaf_mixtures(leaves, labels, subjects, spec), subjects)
+    sums = checkpointed(leaf_term_sums(pairs, leaves, leaf_mixtures(leaves, near, labels, subjects, spec), subjects))
     for _ in range(spec.rounds):
-        sums = with_labels(sums, pairs, labels, subjects, spec.label_weight)
-        votes = sentence_subjects(rows, checkpointed(term_lifts(sums, subjects)), subjects, spec)
-        sums = vote_term_sums(pairs, votes, subjects)
-    sums = with_labels(sums, pairs, labels, subjects, spec.label_weight)
-    votes = sentence_subjects(rows, checkpointed(term_lifts(sums, subjects)), subjects, spec).where(F.col("subject") != NONE)
+        votes = sentence_subjects(rows, term_lifts(sums, subjects), subjects, spec)
+        sums = checkpointed(vote_term_sums(pairs, votes, subjects))
+    votes = sentence_subjects(rows, term_lifts(sums, subjects), subjects, spec).where(F.col("subject") != NONE)
     return votes.groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n_sentences")).where(F.col("n_sentences") >= spec.min_sentences)
 
 
@@ -196,12 +199,14 @@ def leaf_terms(documents: DataFrame, subject_list: DataFrame, labels: DataFrame,
     subjects = subject_names(subject_list)
     docs = sentences(documents)
     rows = checkpointed(topical_rows(docs, checkpointed(topical_words(docs, spec))))
-    leaves = checkpointed(document_leaves(rows, spec))
-    mixtures = leaf_mixtures(leaves, labels, subjects, spec)
+    leaves, near = document_leaves(rows, spec)
+    mixtures = leaf_mixtures(leaves, near, labels, subjects, spec)
     main = F.array_max(F.array(*(F.struct(F.col(f"p_{i}").alias("share"), F.lit(s).alias("subject")) for i, s in enumerate(subjects))))
     counts = rows.select("doc_id", "w").distinct().join(leaves, "doc_id").groupBy("leaf", "w").agg(F.count(F.lit(1)).alias("n"))
     sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n_docs"))
-    lift = F.col("n") * F.log(F.col("n") / F.col("n_docs") / (F.sum("n").over(Window.partitionBy("w")) / F.sum("n").over(Window.partitionBy())))
+    counts = checkpointed(counts)
+    whole = counts.agg(F.sum("n")).first()[0] or 1
+    lift = F.col("n") * F.log(F.col("n") / F.col("n_docs") / (F.sum("n").over(Window.partitionBy("w")) / whole))
     ranked = counts.join(sizes, "leaf").withColumn("weight", lift).withColumn("r", F.row_number().over(Window.partitionBy("leaf").orderBy(F.desc("weight"), "w"))).where(F.col("r") <= top)
     terms = ranked.groupBy("leaf", "n_docs").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "w"))), lambda x: x["w"]), " ").alias("terms"))
     return terms.join(mixtures.select("leaf", main.alias("m")), "leaf").select("leaf", "n_docs", "m.subject", "m.share", "terms")

@@ -223,6 +223,15 @@ def trait_verdict(nodes: DataFrame, closure: DataFrame, tip_states: DataFrame, r
     scores = parsimony_scores(nodes, node_depths(closure), labelled.join(F.broadcast(bits), "state").select("node", "rep", "mask"))
     ps = scores.select("rep", F.lit("PS").alias("statistic"), F.lit(None).cast("string").alias("state"), F.col("score").cast("double").alias("x"))
     values = checkpointed(ai.unionAll(ps).unionAll(mc))
+    return trait_report(values, known, alpha)
+
+
+def trait_report(values: DataFrame, known: DataFrame, alpha: float) -> DataFrame:
+    """The rows of ``trait_verdict`` from values (rep, statistic, state, x; rep 0 is real) and the known states of tips.
+
+    AI and PS are rounded to nine digits before they are compared, as sums differ in their last digit by their order.
+    """
+    values = values.withColumn("x", F.round("x", 9))
     real = values.where("rep = 0").select(F.col("statistic").alias("s"), F.col("state").alias("t"), F.col("x").alias("observed"))
     null = values.where("rep > 0").join(F.broadcast(real), F.col("statistic").eqNullSafe(F.col("s")) & F.col("state").eqNullSafe(F.col("t")))
     extreme = F.when(F.col("statistic") == "MC", F.col("x") >= F.col("observed")).otherwise(F.col("x") <= F.col("observed"))

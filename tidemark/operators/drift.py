@@ -50,11 +50,11 @@ def file_cells(files: DataFrame) -> DataFrame:
     tsv = tsv.select(*head, "rec", "clade", F.col("c.names").alias("field"), F.col("c.vals").alias("value"), F.lit("cell").alias("raw_type")).where("field is not null")
     joined = F.array_join("lines", "\n")
     json = files.where("payload_format = 'json'").select(*head, F.when(joined.startswith("["), F.array(joined)).otherwise(F.col("lines")).alias("docs"))
-    json = json.select(*head, F.explode("docs").alias("doc"))
+    json = json.select(*head, F.posexplode("docs").alias("line", "doc"))
     parsed = F.when(F.col("doc").startswith("["), F.from_json("doc", "array<map<string,variant>>")).otherwise(F.array(F.from_json("doc", "map<string,variant>")))
-    json = json.select(*head, F.posexplode(parsed).alias("rec", "m"), F.xxhash64("doc").alias("h")).where("m is not null")
+    json = json.select(*head, "line", F.posexplode(parsed).alias("rec", "m")).where("m is not null")
     entries = F.transform(F.map_entries("m"), lambda e: F.struct(_bare(e["key"]).alias("field"), e["value"].alias("v")))
-    json = json.select(*head, F.xxhash64("rec", "h").alias("rec"), entries.alias("e"))
+    json = json.select(*head, (F.shiftleft(F.col("line").cast("long"), 32) + F.col("rec")).alias("rec"), entries.alias("e"))
     json = json.withColumn("clade", F.expr("try_variant_get(get(filter(e, x -> x.field = 'clade'), 0).v, '$', 'string')")).select(*head, "rec", "clade", F.explode("e").alias("e"))
     json = json.select(*head, "rec", "clade", F.col("e.field").alias("field"), F.col("e.v").alias("v"))
     kind = F.schema_of_variant("v")
@@ -164,25 +164,27 @@ def field_names(df_changes: DataFrame) -> DataFrame:
 
 
 def clade_table(df: DataFrame) -> DataFrame:
-    """All files as one table: series, build_date, build_id, clade, the typed columns of ``CLADE_COLUMNS``, ``failed`` and ``rest``.
-
-    ``failed`` maps a column to the text that its type can't hold; such values are
-    null in the column. ``rest`` maps every other field, by its canonical name, to
-    value and raw_type where a value is there. If a file has several fields of one
-    column, the one of that name (else the least) takes it, the others are in
-    ``rest`` by their own names. One row per file and clade.
+    """All files as one table: series, build_date, build_id, rec, clade, the typed columns of ``CLADE_COLUMNS``, ``failed`` and ``rest``.
+
+    One row per file and record (``rec`` numbers them in a file), also of records
+    without a clade or that come twice. ``failed`` maps a column to the text that its
+    type can't hold; such values are null in the column. ``rest`` maps every other
+    field, by its canonical name, to value and raw_type where a value is there. If
+    a file has several fields of one column, the one of that name (else the least)
+    takes it, the others are in ``rest`` by their own names. Of a field that stands
+    twice in a record the greater value counts.
     """
-    names = field_names(schema_changes(df))
+    names = checkpointed(field_names(schema_changes(df)))
     file = [*SERIES, "build_date", "build_id"]
-    cells = file_cells(latest_files(df)).where("clade is not null").join(F.broadcast(names), "field", "left").withColumn("column", F.coalesce("column", "field"))
-    cells = checkpointed(cells.groupBy(*file, "clade", "column", "field").agg(F.max(F.struct("value", "raw_type")).alias("x")))
-    owners = cells.where("x.value is not null").groupBy(*file, "column").agg(F.min(F.struct(F.col("field") != F.col("column"), "field"))["field"].alias("owner"))
-    cells = cells.join(if_small(owners), [*file, "column"], "left").withColumn("column", F.when(F.col("field") == F.col("owner"), F.col("column")).otherwise(F.col("field")))
-    other = ~F.col("column").isin("clade", *CLADE_COLUMNS) & F.col("x.value").isNotNull()
-    rows = cells.groupBy(*file, "clade").agg(
+    cells = file_cells(latest_files(df)).where("value is not null").join(if_small(names), "field", "left").withColumn("column", F.coalesce("column", "field"))
+    cells = checkpointed(cells.groupBy(*file, "rec", "clade", "column", "field").agg(F.max(F.struct("value", "raw_type")).alias("x")))
+    owners = checkpointed(cells.groupBy(*file, "column").agg(F.min(F.struct(F.col("field") != F.col("column"), "field"))["field"].alias("owner")))
+    cells = cells.join(if_small(owners), [*file, "column"]).withColumn("column", F.when(F.col("field") == F.col("owner"), F.col("column")).otherwise(F.col("field")))
+    other = ~F.col("column").isin("clade", *CLADE_COLUMNS)
+    rows = cells.groupBy(*file, "rec", "clade").agg(
         *(F.max(F.when(F.col("column") == c, F.col("x.value"))).alias(f"_{c}") for c in CLADE_COLUMNS),
         F.map_from_entries(F.array_sort(F.collect_list(F.when(other, F.struct(F.col("column").alias("key"), F.col("x").alias("value")))))).alias("rest"),
     )
     casts = {c: F.col(f"_{c}").try_cast(t) for c, t in CLADE_COLUMNS.items()}
     failed = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(c).alias("key"), F.when(casts[c].isNull(), F.col(f"_{c}")).alias("value")) for c in CLADE_COLUMNS)), lambda x: x["value"].isNotNull()))
-    return rows.select(*file, "clade", *(v.alias(c) for c, v in casts.items()), failed.alias("failed"), "rest")
+    return rows.select(*file, "rec", "clade", *(v.alias(c) for c, v in casts.items()), failed.alias("failed"), "rest")

@@ -130,7 +130,7 @@ def verdict_changes(table: DataFrame) -> DataFrame:
     """
     files = table.select("pathogen", "kind", "build_date").distinct()
     pairs = files.withColumn("prev", F.lag("build_date").over(Window.partitionBy("pathogen", "kind").orderBy("build_date"))).where("prev is not null")
-    keep = table.select("pathogen", "kind", "build_date", "clade", "verdict")
+    keep = table.where("clade is not null").groupBy("pathogen", "kind", "build_date", "clade").agg(F.max("verdict").alias("verdict"))
     now = keep.join(pairs, ["pathogen", "kind", "build_date"]).select("pathogen", "kind", "build_date", "clade", F.col("verdict").alias("after"), F.lit(1).alias("has_after"))
     then = keep.withColumnRenamed("build_date", "prev").join(pairs, ["pathogen", "kind", "prev"]).select("pathogen", "kind", "build_date", "clade", F.col("verdict").alias("before"), F.lit(1).alias("has_before"))
     both = now.join(then, ["pathogen", "kind", "build_date", "clade"], "full_outer")

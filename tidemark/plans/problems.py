@@ -90,6 +90,13 @@ _FORM = rf"""CASE f WHEN 'collection_date' THEN CASE WHEN {_DAY.format("v")} THE
   WHEN 'lat_lon' THEN CASE WHEN regexp_full_match(v, '\d{{1,3}}(\.\d+)? [NS] \d{{1,3}}(\.\d+)? [EW]') AND try_cast(split_part(v, ' ', 1) AS DOUBLE) <= 90 AND try_cast(split_part(v, ' ', 3) AS DOUBLE) <= 180 THEN split_part(v, ' ', 2) || split_part(v, ' ', 4) END
   WHEN 'segment' THEN CASE WHEN regexp_full_match(v, '[1-9]|10') THEN v END END"""
 
+#: Columns of metadata_all as texts, written as Spark writes them.
+_TEXTS = {"number": ("row_id", "seq_length", "decimal_year", "date_uncertainty_years"), "text": ("accession", "description", "segment", "host_canonical", "host_group", "country_raw", "country", "collection_date", "date_precision", "date_reason", "strain", "isolate", "lat_lon", "clade"), "flag": ("host_ambiguous", "is_vaccine")}
+_UNPIVOT = " UNION ALL ".join(
+    [f"SELECT load_id, '{c}' AS f, CAST({c} AS VARCHAR) AS v, '{kind}' AS kind FROM metadata_all" for kind, columns in _TEXTS.items() for c in columns]
+    + ["SELECT load_id, 'loaded_at', regexp_replace(strftime(loaded_at, '%Y-%m-%d %H:%M:%S.%f'), '\\.?0*$', ''), 'text' FROM metadata_all"]
+)
+
 SQL: dict[str, str] = {
     "p2_found": _P2 + "SELECT * FROM f",
     "p2_decisions": _P2
@@ -104,6 +111,12 @@ o AS (SELECT load_id, lag(load_id) OVER (ORDER BY load_id) AS prev FROM (SELECT
 d AS (SELECT load_id, f, form, sum(share) AS c FROM (SELECT load_id, f, form, share FROM s JOIN o USING (load_id) WHERE prev IS NOT NULL UNION ALL SELECT o.load_id, f, form, -share FROM s JOIN o ON o.prev = s.load_id) GROUP BY 1, 2, 3)
 SELECT f AS field_name, 'cell' AS case_kind, row_id AS case_id FROM k WHERE NOT missing AND form IS NULL
 UNION ALL SELECT DISTINCT f, 'load', CAST(load_id AS BIGINT) FROM d WHERE abs(c) > 0.25""",
+    "p5_profile": f"""
+WITH u AS ({_UNPIVOT}),
+k AS (SELECT load_id, f, v, kind, (v IS NULL OR v = '') AS missing, CASE WHEN v <> '' THEN CASE WHEN f IN ('collection_date', 'lat_lon', 'segment') THEN {_FORM} ELSE 'any' END END AS form FROM u)
+SELECT load_id, f AS field_name, count(*) AS n_rows, count(*) FILTER (missing) AS n_missing, count(DISTINCT v) FILTER (NOT missing) AS n_distinct, min(v) FILTER (NOT missing) AS min_text, max(v) FILTER (NOT missing) AS max_text,
+  min(TRY_CAST(v AS DOUBLE)) FILTER (NOT missing AND kind = 'number') AS min_number, max(TRY_CAST(v AS DOUBLE)) FILTER (NOT missing AND kind = 'number') AS max_number,
+  count(*) FILTER (NOT missing AND form IS NULL) AS n_broken, count(*) FILTER (missing) / count(*) AS missing_rate FROM k GROUP BY 1, 2""",
     "p7_found": """
 SELECT host_group, country, row_id FROM (
   SELECT host_group, country, row_id, row_number() OVER w AS r, count(*) OVER (PARTITION BY host_group, country) AS n FROM metadata_all

@@ -77,16 +77,15 @@ def shared_out(df: DataFrame, group: list[str], quota: str, capacity: str, order
     return rows.withColumn(name, share).drop("_w", "_fill", "_before", "_left", "_full", "_rest", "_open", "_share", "_over", "_nth")
 
 
-def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str = "rank") -> DataFrame:
-    """``df`` with the exact rank from 1 by value, then key, in each group; rows without a value are left out.
+def ordered_rank(df: DataFrame, group: list[str], order: list[str | Column], name: str = "rank") -> DataFrame:
+    """``df`` with the exact rank from 1 in ``order`` in each group.
 
-    Rows are sorted once over all partitions by group, value and key, so neither a
-    long group nor a value that fills one is sorted in one task. The part of a
-    group in a partition gets its offset from the counts of the parts before it.
-    Equal keys of an equal value get ranks of their own in no stated order.
+    Rows are sorted once over all partitions by group and order, so neither a long
+    group nor a value that fills one is sorted in one task. The part of a group in
+    a partition gets its offset from the counts of the parts before it. Rows that
+    are equal in ``order`` get ranks of their own in no stated order.
     """
-    order = [*group, value, key]
-    laid = df.where(F.col(value).isNotNull()).repartitionByRange(*order).sortWithinPartitions(*order)
+    laid = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
     laid = checkpointed(laid.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
     parts = laid.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_part")) - F.col("_n")
@@ -94,6 +93,11 @@ def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str
     return joined_null_safe(laid, offsets, [*group, "_part"]).withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
 
 
+def value_rank(df: DataFrame, group: list[str], value: str, key: str, name: str = "rank") -> DataFrame:
+    """``df`` with the exact rank from 1 by value, then key, in each group; rows without a value are left out."""
+    return ordered_rank(df.where(F.col(value).isNotNull()), group, [value, key], name)
+
+
 def md5_rank(df: DataFrame, group: list[str], salted: Column, name: str = "rank") -> DataFrame:
     """``df`` with a rank from 1 by the md5 of a text in each group, taken in 256 ranges of the digest.
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.ranks import joined_null_safe, ordered_rank
+from tidemark.session import checkpointed
+
 
 def states_through_time(intervals: DataFrame, unit: str, start: str, end: str, state: str, step: float = 1.0, min_total: float = 0.0) -> DataFrame:
     """slice, state, mean, proportion, enrichment: intervals that cover each grid point, by state.
@@ -38,27 +41,29 @@ def enrichment_thirds(series: DataFrame, state: str) -> DataFrame:
     return out.select(state, "third", F.round("e", 4).alias("enrichment"), "n_slices", F.when(F.col("e") >= 1.5, "strong").when(F.col("e") >= 1.25, "enriched").otherwise("none").alias("reading"))
 
 
-def stratified_sample(df: DataFrame, strata: list[str], key: str, better: list, target: int) -> DataFrame:
+def stratified_sample(df: DataFrame, strata: list[str], key: str, better: list, target: int, least: int = 1, first: Column | None = None) -> DataFrame:
     """``strata``, key, n_stratum: about ``target`` rows spread over strata, the best of each.
 
-    Every stratum gives one; the rest goes by the square root of what is left of
-    a stratum, cut to whole rows, and what that leaves goes to the largest strata
-    in turn. With more strata than ``target``, the largest give one each.
+    Every stratum gives ``least``; the rest goes by the square root of what is left
+    of a stratum, cut to whole rows, and what that leaves goes to the largest strata
+    in turn. With ``target`` strata or more, those where ``first`` holds, then the
+    largest, give one each. Nulls in ``strata`` are values. Strata are few; their
+    rows are ranked by one sort over all partitions.
     """
     sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("n_stratum"))
     whole = Window.partitionBy()
     name = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in strata))
     by_size = Window.orderBy(F.desc("n_stratum"), name)
-    sizes = sizes.withColumns({"k": F.count(F.lit(1)).over(whole), "w": F.sqrt(F.col("n_stratum") - 1), "place": F.row_number().over(by_size)})
-    rest = F.greatest(F.lit(target) - F.col("k"), F.lit(0))
-    sizes = sizes.withColumn("base", 1 + F.least(F.col("n_stratum") - 1, F.coalesce(F.floor(F.round(rest * F.col("w") / F.nullif(F.sum("w").over(whole), F.lit(0.0)), 6)), F.lit(0))))
+    by_turn = Window.orderBy(*([F.desc(F.coalesce(first, F.lit(False)))] if first is not None else []), F.desc("n_stratum"), name)
+    sizes = sizes.withColumns({"k": F.count(F.lit(1)).over(whole), "w": F.sqrt(F.greatest(F.col("n_stratum") - least, F.lit(0))), "place": F.row_number().over(by_turn)})
+    rest = F.greatest(F.lit(target) - F.col("k") * least, F.lit(0))
+    share = F.coalesce(F.floor(F.round(rest * F.col("w") / F.nullif(F.sum("w").over(whole), F.lit(0.0)), 6)), F.lit(0))
+    sizes = sizes.withColumn("base", F.least("n_stratum", least + share))
     sizes = sizes.withColumn("room", F.col("n_stratum") - F.col("base"))
-    left = F.lit(target) - F.sum("base").over(whole)
+    left = F.greatest(F.lit(target) - F.sum("base").over(whole), F.lit(0))
     upto = F.sum("room").over(by_size)
     extra = F.greatest(F.lit(0), F.least(F.col("room"), left - (upto - F.col("room"))))
-    quota = F.when(F.col("k") > target, F.when(F.col("place") <= target, 1).otherwise(0)).otherwise(F.col("base") + extra)
-    quotas = sizes.select(*strata, "n_stratum", quota.alias("quota"))
-    on = [df[c].eqNullSafe(quotas[c]) for c in strata]
-    rows = df.join(F.broadcast(quotas), on).drop(*(quotas[c] for c in strata))
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(*better, key))
-    return rows.withColumn("_r", rank).where(F.col("_r") <= F.col("quota")).select(*strata, key, "n_stratum")
+    quota = F.when(F.col("k") >= target, F.when(F.col("place") <= target, 1).otherwise(0)).otherwise(F.col("base") + extra)
+    quotas = checkpointed(sizes.select(*strata, "n_stratum", quota.alias("quota")))
+    ranked = ordered_rank(joined_null_safe(df, quotas.where("quota > 0"), strata), strata, [*better, key], "_r")
+    return ranked.where(F.col("_r") <= F.col("quota")).select(*strata, key, "n_stratum")

@@ -102,8 +102,7 @@ def enrichment_thirds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
-    rows = read_table(spark, sf, "metadata_all").where("host_group is not null and decimal_year is not null")
-    rows = rows.withColumn("bin", (F.floor(F.col("decimal_year") / 10) * 10).cast("int"))
+    rows = read_table(spark, sf, "metadata_all").withColumn("bin", F.coalesce((F.floor(F.col("decimal_year") / 10) * 10).cast("int"), F.lit(-1)))
     return history.stratified_sample(rows.select("clade", "host_group", "bin", "row_id", "date_uncertainty_years", "seq_length"), ["clade", "host_group", "bin"], "row_id", [F.col("date_uncertainty_years"), F.desc("seq_length")], 500)
 
 
@@ -195,12 +194,12 @@ l AS (SELECT slice, CASE WHEN i <= greatest(1, n // 3) THEN 'early' WHEN i > n -
 e AS (SELECT state, third, sum(enrichment * total) / sum(total) AS e, count(*) AS n_slices FROM v JOIN l USING (slice) GROUP BY 1, 2)
 SELECT state, third, round(e, 4) AS enrichment, n_slices, CASE WHEN e >= 1.5 THEN 'strong' WHEN e >= 1.25 THEN 'enriched' ELSE 'none' END AS reading FROM e""",
     "stratified_sample": """
-WITH m AS (SELECT clade, host_group, CAST(floor(decimal_year / 10) * 10 AS INT) AS bin, row_id, date_uncertainty_years AS u, seq_length FROM metadata_all WHERE host_group IS NOT NULL AND decimal_year IS NOT NULL),
-s AS (SELECT clade, host_group, bin, count(*) AS n, concat_ws('|', coalesce(clade, ''), host_group, CAST(bin AS VARCHAR)) AS name FROM m GROUP BY 1, 2, 3),
+WITH m AS (SELECT clade, host_group, coalesce(CAST(floor(decimal_year / 10) * 10 AS INT), -1) AS bin, row_id, date_uncertainty_years AS u, seq_length FROM metadata_all),
+s AS (SELECT clade, host_group, bin, count(*) AS n, concat_ws('|', coalesce(clade, ''), coalesce(host_group, ''), CAST(bin AS VARCHAR)) AS name FROM m GROUP BY 1, 2, 3),
 a AS (SELECT *, count(*) OVER () AS k, row_number() OVER (ORDER BY n DESC, name) AS place, sqrt(n - 1) AS w, sum(sqrt(n - 1)) OVER () AS tw FROM s),
 b AS (SELECT *, 1 + least(n - 1, coalesce(floor(round(greatest(500 - k, 0) * w / nullif(tw, 0), 6)), 0)) AS base FROM a),
 c AS (SELECT *, n - base AS room, 500 - sum(base) OVER () AS rest, sum(n - base) OVER (ORDER BY n DESC, name) AS upto FROM b),
-q AS (SELECT *, CASE WHEN k > 500 THEN CASE WHEN place <= 500 THEN 1 ELSE 0 END ELSE base + greatest(0, least(room, rest - (upto - room))) END AS quota FROM c),
+q AS (SELECT *, CASE WHEN k >= 500 THEN CASE WHEN place <= 500 THEN 1 ELSE 0 END ELSE base + greatest(0, least(room, rest - (upto - room))) END AS quota FROM c),
 r AS (SELECT *, row_number() OVER (PARTITION BY clade, host_group, bin ORDER BY u NULLS FIRST, seq_length DESC NULLS LAST, row_id) AS r FROM m)
-SELECT r.clade, r.host_group, r.bin, r.row_id, q.n AS n_stratum FROM r JOIN q ON q.clade IS NOT DISTINCT FROM r.clade AND q.host_group = r.host_group AND q.bin = r.bin WHERE r.r <= q.quota""",
+SELECT r.clade, r.host_group, r.bin, r.row_id, q.n AS n_stratum FROM r JOIN q ON q.clade IS NOT DISTINCT FROM r.clade AND q.host_group IS NOT DISTINCT FROM r.host_group AND q.bin = r.bin WHERE r.r <= q.quota""",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import day_number, days_in_month, is_leap, month_number
+from tidemark.session import if_small
 
 #: Texts that say that a date is not known. Fixed values.
 UNKNOWN_DATES = ("unknown", "not collected", "missing", "n/a", "na", "none", "null")
@@ -39,7 +40,7 @@ def first_rule(df: DataFrame, rules: DataFrame, key: str, text: str) -> DataFram
     ``no_pattern_matched``.
     """
     won = rule_hits(df, rules, key, text).groupBy(key).agg(F.min("lineno").alias("lineno"))
-    rows = df.select(key, tidy_host(F.col(text)).alias("_t")).join(won, key, "left").join(F.broadcast(rules.select("lineno", "canonical", "host_group")), "lineno", "left")
+    rows = df.select(key, tidy_host(F.col(text)).alias("_t")).join(won, key, "left").join(if_small(rules.select("lineno", "canonical", "host_group")), "lineno", "left")
     reason = F.when(F.col("lineno").isNotNull(), None).when(F.col("_t") == "", "empty_host_field").otherwise("no_pattern_matched")
     return rows.select(key, "canonical", "host_group", F.col("lineno").isNull().alias("ambiguous"), "lineno", reason.alias("reason"))
 

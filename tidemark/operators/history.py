@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ranks import joined_null_safe, ordered_rank
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, if_small
 
 
 def states_through_time(intervals: DataFrame, unit: str, start: str, end: str, state: str, step: float = 1.0, min_total: float = 0.0) -> DataFrame:
@@ -23,7 +23,7 @@ def states_through_time(intervals: DataFrame, unit: str, start: str, end: str, s
     shares = rows.groupBy(state).agg(F.count(F.lit(1)).alias("m"))
     shares = shares.select(state, (F.col("m") / F.sum("m").over(Window.partitionBy())).alias("share"))
     total = F.sum("n").over(Window.partitionBy("slice"))
-    out = counts.withColumn("total", total).where(F.col("total") >= min_total).join(F.broadcast(shares), state)
+    out = counts.withColumn("total", total).where(F.col("total") >= min_total).join(if_small(checkpointed(shares)), state)
     p = F.col("n") / F.col("total")
     return out.select((F.col("slice") * step).alias("slice"), state, F.round(F.col("n") / units, 6).alias("mean"), F.round(p, 6).alias("proportion"), F.round(p / F.col("share"), 6).alias("enrichment"), "n", "total")
 
@@ -37,7 +37,7 @@ def enrichment_thirds(series: DataFrame, state: str) -> DataFrame:
     numbered = slices.select("slice", F.row_number().over(Window.orderBy("slice")).alias("i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
     third = F.greatest(F.lit(1), F.floor(F.col("n") / 3))
     label = F.when(F.col("i") <= third, "early").when(F.col("i") > F.col("n") - third, "late").otherwise("middle")
-    out = series.join(F.broadcast(numbered.select("slice", label.alias("third"))), "slice").groupBy(state, "third").agg((F.sum(F.col("enrichment") * F.col("total")) / F.sum("total")).alias("e"), F.count(F.lit(1)).alias("n_slices"))
+    out = series.join(if_small(checkpointed(numbered.select("slice", label.alias("third")))), "slice").groupBy(state, "third").agg((F.sum(F.col("enrichment") * F.col("total")) / F.sum("total")).alias("e"), F.count(F.lit(1)).alias("n_slices"))
     return out.select(state, "third", F.round("e", 4).alias("enrichment"), "n_slices", F.when(F.col("e") >= 1.5, "strong").when(F.col("e") >= 1.25, "enriched").otherwise("none").alias("reading"))
 
 

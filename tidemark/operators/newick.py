@@ -1,6 +1,6 @@
 """Newick texts to node rows and back.
 
-Parsing is a small helper per text inside a table function; everything on the
+Parsing is a small helper per text inside Arrow batches; everything on the
 nodes is DataFrame work (``operators.trees``).
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,9 +66,18 @@ def parse_nodes(text: str | None) -> Iterator[tuple]:
 
 
 def tree_nodes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key and the nodes of the tree in ``text`` (columns of ``NODE_SCHEMA``); trees are parsed where they are read."""
-    parse = F.udf(lambda t: list(parse_nodes(t)), f"array<struct<{', '.join(f'{a}:{b}' for a, b in (c.split() for c in NODE_SCHEMA.split(', ')))}>>")
-    return df.select(key, F.explode(parse(F.col(text))).alias("n")).select(key, "n.*")
+    """key and the nodes of the tree in ``text`` (columns of ``NODE_SCHEMA``); texts pass in Arrow batches through the tasks that read them."""
+    names = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [list(parse_nodes(t)) for t in batch.column(1).to_pylist()]
+            flat = [row for rows in found for row in rows]
+            at = pa.array([i for i, rows in enumerate(found) for _ in rows], pa.int64())
+            columns = [pa.array([row[k] for row in flat], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *columns], names=[key, *names])
+
+    return df.select(key, text).mapInArrow(parse, f"{key} {dict(df.dtypes)[key]}, {NODE_SCHEMA}")
 
 
 def annotation_value(annotation: Column, name: str) -> Column:

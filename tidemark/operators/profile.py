@@ -114,10 +114,10 @@ def load_drift(counts: DataFrame) -> DataFrame:
     A form that is absent on one side has the share 0 there; the first load has no rows.
     """
     loads = counts.select("load").where("load is not null").distinct()
-    pairs = loads.select("load", F.lag("load").over(Window.orderBy("load")).alias("prev")).where("prev is not null")
+    pairs = if_small(checkpointed(loads.select("load", F.lag("load").over(Window.orderBy("load")).alias("prev")).where("prev is not null")))
     shares = form_shares(counts)
-    here = shares.join(F.broadcast(pairs), "load").select("load", "field_name", "form", "share", F.lit(0.0).alias("prev_share"))
-    before = shares.withColumnRenamed("load", "prev").join(F.broadcast(pairs), "prev").select("load", "field_name", "form", F.lit(0.0).alias("share"), F.col("share").alias("prev_share"))
+    here = shares.join(pairs, "load").select("load", "field_name", "form", "share", F.lit(0.0).alias("prev_share"))
+    before = shares.withColumnRenamed("load", "prev").join(pairs, "prev").select("load", "field_name", "form", F.lit(0.0).alias("share"), F.col("share").alias("prev_share"))
     return here.unionAll(before).groupBy("load", "field_name", "form").agg(F.sum("share").alias("share"), F.sum("prev_share").alias("prev_share"))
 
 
@@ -165,8 +165,8 @@ def distribution_changes(df: DataFrame, load: str = "load_id", floor: float = 1e
     times = [f for f in ordered if f not in numeric]
     counts = checkpointed(with_forms(value_counts(kept, load, fields), numeric).where("load is not null"))
     items = checkpointed(drift_items(counts, ordered, limit))
-    totals = items.groupBy("load", "field_name", "measure").agg(F.sum("n").alias("total"))
-    tops = items.join(F.broadcast(totals), ["load", "field_name", "measure"]).groupBy("field_name", "measure", "item").agg(F.max(F.col("n") / F.col("total")).alias("top"))
+    totals = if_small(checkpointed(items.groupBy("load", "field_name", "measure").agg(F.sum("n").alias("total"))))
+    tops = items.join(totals, ["load", "field_name", "measure"]).groupBy("field_name", "measure", "item").agg(F.max(F.col("n") / F.col("total")).alias("top"))
     kinds = tops.groupBy("field_name", "measure").agg(F.count(F.lit(1)).alias("k"))
     own = checkpointed(tops.join(F.broadcast(kinds), ["field_name", "measure"]).where((F.col("k") <= limit) | (F.col("top") * limit >= 1)).select("field_name", "measure", "item", F.lit(True).alias("own")))
     binned = items.join(if_small(own), ["field_name", "measure", "item"], "left")
@@ -180,9 +180,9 @@ def distribution_changes(df: DataFrame, load: str = "load_id", floor: float = 1e
     shares = binned.groupBy("load", "field_name", "measure", F.coalesce("own", F.lit(False)).alias("own"), F.when(F.col("own"), F.col("item")).otherwise(bucket).alias("bin")).agg(F.sum("n").alias("n"))
     shares = checkpointed(shares.join(totals, ["load", "field_name", "measure"]))
     # Every load meets its next lower one; a bin that one of them lacks has the share 0 there.
-    pairs = counts.select("load").distinct().select("load", F.lag("load").over(Window.orderBy("load")).alias("prev")).where("prev is not null")
-    before = shares.withColumnRenamed("load", "prev").join(F.broadcast(pairs), "prev").select("load", "field_name", "measure", "own", "bin", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"), F.col("n").alias("m"), F.col("total").alias("prev_total"))
-    here = shares.join(F.broadcast(pairs), "load").select("load", "field_name", "measure", "own", "bin", "n", "total", F.lit(0).cast("long").alias("m"), F.lit(0).cast("long").alias("prev_total"))
+    pairs = if_small(checkpointed(counts.select("load").distinct().select("load", F.lag("load").over(Window.orderBy("load")).alias("prev")).where("prev is not null")))
+    before = shares.withColumnRenamed("load", "prev").join(pairs, "prev").select("load", "field_name", "measure", "own", "bin", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"), F.col("n").alias("m"), F.col("total").alias("prev_total"))
+    here = shares.join(pairs, "load").select("load", "field_name", "measure", "own", "bin", "n", "total", F.lit(0).cast("long").alias("m"), F.lit(0).cast("long").alias("prev_total"))
     whole = Window.partitionBy("load", "field_name", "measure")
     both = here.unionAll(before).withColumns({"total": F.max("total").over(whole), "prev_total": F.max("prev_total").over(whole)})
     both = both.groupBy("load", "field_name", "measure", "own", "bin").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.max("total").alias("total"), F.max("prev_total").alias("prev_total"))
@@ -191,7 +191,7 @@ def distribution_changes(df: DataFrame, load: str = "load_id", floor: float = 1e
     psi = both.groupBy("load", "field_name", "measure").agg(F.sum((p - q) * F.log(p / q)).alias("psi"), noise.alias("noise"))
     best = psi.groupBy("load", "field_name").agg(F.max(F.struct((F.col("psi") - F.col("noise")).alias("excess"), "measure", "psi", "noise")).alias("b"))
     rates = counts.groupBy("load", "field_name").agg((F.coalesce(F.sum(F.when(F.col("missing"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("rate"))
-    changes = rates.join(F.broadcast(pairs), "load").join(rates.select(F.col("load").alias("prev"), "field_name", F.col("rate").alias("old_rate")), ["prev", "field_name"])
+    changes = rates.join(pairs, "load").join(rates.select(F.col("load").alias("prev"), "field_name", F.col("rate").alias("old_rate")), ["prev", "field_name"])
     out = changes.join(best, ["load", "field_name"], "left").select(
         F.col("load").alias(load), "field_name", F.coalesce("b.psi", F.lit(0.0)).alias("psi"), F.coalesce("b.noise", F.lit(0.0)).alias("noise"), "b.measure", (F.col("rate") - F.col("old_rate")).alias("missing_change"), F.coalesce("b.excess", F.lit(0.0)).alias("excess")
     )

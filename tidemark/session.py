@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +32,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a checkpoint in the shared folder.
 
     The folder is ``spark.checkpoint.dir`` of the session. Only where that is
-    unset (tests, one machine) a temporary folder is chosen.
+    unset and all runs in one process (tests) a temporary folder is chosen; on a
+    cluster that is an error, as its machines would not see it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint(eager=True)
 

@@ -35,7 +35,7 @@ def read_chain_log(spark: SparkSession, path: str) -> DataFrame:
     cells = lines.select("chain", F.split("value", "\t").alias("c"))
     is_head = F.col("c")[0].try_cast("double").isNull()
     heads = cells.where(is_head).groupBy("chain").agg(F.first("c").alias("h"))
-    rows = cells.where(~is_head).join(F.broadcast(heads), "chain").where(F.size("c") == F.size("h"))
+    rows = cells.where(~is_head).join(heads, "chain").where(F.size("c") == F.size("h"))
     rows = rows.where(F.forall("c", lambda x: x.try_cast("double").isNotNull()))
     values = rows.select("chain", F.col("c")[0].try_cast("long").alias("sample"), F.explode(F.arrays_zip(F.expr("slice(h, 2, size(h) - 1)").alias("param"), F.expr("slice(c, 2, size(c) - 1)").alias("value"))).alias("x"))
     return values.select("chain", "sample", "x.param", F.col("x.value").try_cast("double").alias("value"))
@@ -60,7 +60,7 @@ def read_trees(spark: SparkSession, path: str) -> DataFrame:
     trees = lines.select("chain", F.when(named != "", named).otherwise("").alias("tree"), F.when(named != "", body).when(F.col("v").startswith("("), F.col("v")).alias("newick")).where("newick is not null")
     entry = F.regexp_extract("v", r"^(\d+)\s+'?([^',;]+)'?\s*[,;]?$", 1), F.regexp_extract("v", r"^(\d+)\s+'?([^',;]+)'?\s*[,;]?$", 2)
     translate = lines.select("chain", entry[0].alias("k"), entry[1].alias("label")).where("k <> ''").groupBy("chain").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("k", "label")))).alias("t"))
-    joined = trees.join(F.broadcast(translate), "chain", "left")
+    joined = trees.join(translate, "chain", "left")
     parts = F.regexp_extract_all("newick", F.lit(r"([(,])(\d+)(?=[:,)\[])|([^(,]+|[(,])"), F.lit(0))
     put = F.transform(parts, lambda p: F.when(p.rlike(r"^[(,]\d+$"), F.concat(F.substring(p, 1, 1), F.coalesce(F.try_element_at("t", p.substr(F.lit(2), F.length(p))), p.substr(F.lit(2), F.length(p))))).otherwise(p))
     return joined.select("chain", "tree", F.when(F.col("t").isNotNull(), F.array_join(put, "")).otherwise(F.col("newick")).alias("newick"))

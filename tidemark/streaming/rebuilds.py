@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder under the shared checkpoint folder of the session, else a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+    """A new folder under the shared checkpoint folder of the session, else (in one process only) a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    base = base or tempfile.gettempdir()
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 

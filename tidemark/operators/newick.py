@@ -86,6 +86,30 @@ def annotation_value(annotation: Column, name: str) -> Column:
     return F.nullif(F.regexp_replace(found, '^["{]|["}]$', ""), F.lit(""))
 
 
+def annotation_map(annotation: Column) -> Column:
+    """All names of an annotation with their values (lists without braces, texts without quotes); of a name that comes twice the last."""
+    found = F.regexp_extract_all(annotation, F.lit(r'[^,&={}"\[]+=(?:\{[^}]*\}|"[^"]*"|[^,]*)'), F.lit(0))
+    entry = lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), F.regexp_replace(F.regexp_replace(x, "^[^=]*=", ""), '^["{]|["}]$', "").alias("value"))
+    last = F.transform(F.array_distinct(F.transform(found, lambda x: F.substring_index(x, "=", 1))), lambda k: F.element_at(F.filter(F.transform(found, entry), lambda e: e["key"] == k), -1))
+    return F.map_from_entries(last)
+
+
+def state_tag(nodes: DataFrame, preferred: str | None = None) -> str | None:
+    """The annotation name that holds the states: the preferred one if any node has it, else the one of most nodes whose values are no numbers (of equals the least)."""
+    entries = nodes.where("annotation is not null").select(F.explode(annotation_map(F.col("annotation"))).alias("name", "value"))
+    counts = entries.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.regexp_replace("value", r"[,\s]", "").try_cast("double").isNull()).alias("texts"))
+    fit = counts.where((F.col("name") == preferred) | ((F.col("texts") > 0) & ~F.col("name").rlike(r"\.(set|prob|set\.prob)$")))
+    best = fit.orderBy(F.desc(F.col("name").eqNullSafe(F.lit(preferred))), F.desc("n"), "name").select("name").first()
+    return best[0] if best else None
+
+
+def decoded(state: Column, codes: str) -> Column:
+    """The name of a state's code by a list ``name=code,...``; codes that the list lacks stay as they are."""
+    pairs = [p.split("=", 1) for p in codes.split(",") if "=" in p]
+    table = F.create_map(*(F.lit(x.strip()) for name, code in pairs for x in (code, name))) if pairs else F.expr("cast(map() as map<string,string>)")
+    return F.coalesce(F.try_element_at(table, state), state)
+
+
 def small_tree_texts(nodes: DataFrame, key: str) -> DataFrame:
     """key, newick: two-level trees from rows with key, mid, tip and length, each a text of its own.
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.ranks import value_rank
+
 
 def read_fasta(spark: SparkSession, path: str, upper: bool = False) -> DataFrame:
     """name (the first word of the header), description, seq. Blank records are skipped; gzip by suffix."""
@@ -20,9 +24,82 @@ def write_fasta(rows: DataFrame, path: str, width: int = 60) -> None:
     rows.select(F.concat(F.lit(">"), F.col("name").cast("string"), F.lit("\n"), body).alias("value")).write.mode("overwrite").text(path)
 
 
-def read_table_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A tab-separated table with a header and # comments; rows that don't fit the schema are dropped."""
-    return spark.read.option("sep", "\t").option("header", True).option("comment", "#").option("mode", "DROPMALFORMED").schema(schema).csv(path)
+def read_table_text(spark: SparkSession, path: str, schema: str, keep_broken: bool = False) -> DataFrame:
+    """A tab-separated table with a header and # comments.
+
+    Rows that don't fit the schema are dropped, or with ``keep_broken`` kept with
+    their text in ``_corrupt``, which is null in the others.
+    """
+    reader = spark.read.option("sep", "\t").option("header", True).option("comment", "#")
+    if not keep_broken:
+        return reader.option("mode", "DROPMALFORMED").schema(schema).csv(path)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string").csv(path)
+
+
+def read_text_columns(spark: SparkSession, path: str) -> DataFrame:
+    """A tab-separated table with a header, every column as text and '' where nothing stands."""
+    return spark.read.option("sep", "\t").option("header", True).option("inferSchema", False).csv(path).na.fill("")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """lineno (from 1), value: the lines of one short file in their order."""
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.posexplode(F.split("value", "\r\n|\n")).alias("i", "value")).select((F.col("i") + 1).alias("lineno"), "value")
+
+
+def read_rules(spark: SparkSession, path: str, fields: tuple[str, ...] = ("pattern", "canonical", "host_group")) -> DataFrame:
+    """lineno and ``fields`` of an ordered rule table; blank lines and # comments are skipped but counted.
+
+    A line with too few fields, or a table without rules, is an error: the rules
+    after it would silently mean something else.
+    """
+    lines = numbered_lines(spark, path).where("trim(value) <> '' and not startswith(ltrim(value), '#')").select("lineno", F.split("value", "\t").alias("c"))
+    short = lines.where(F.size("c") < len(fields)).agg(F.min("lineno")).first()[0]
+    if short is not None:
+        raise ValueError(f"{path}, line {short}: fewer than {len(fields)} fields")
+    if lines.isEmpty():
+        raise ValueError(f"{path} has no rules")
+    return lines.select("lineno", *(F.trim(F.col("c")[k]).alias(f) for k, f in enumerate(fields)))
+
+
+def read_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """lineno, pattern: a list of patterns in lower case; blank lines and # comments are skipped."""
+    return numbered_lines(spark, path).select("lineno", F.lower(F.trim("value")).alias("pattern")).where("pattern <> '' and not startswith(pattern, '#')")
+
+
+def read_anchors(spark: SparkSession, path: str, kind: str = "nuc", versions: bool = False) -> DataFrame:
+    """accession, lineage of the rows of a ``kind`` in a tab-separated reference table with these columns; without versions unless asked for."""
+    rows = read_text_columns(spark, path).where(F.col("type") == kind)
+    accession = F.trim("accession") if versions else F.split(F.trim("accession"), r"\.")[0]
+    return rows.select(accession.alias("accession"), F.trim("lineage").alias("lineage")).where("accession <> ''")
+
+
+def states_from_labels(tips: DataFrame, field: int, sep: str = "|") -> DataFrame:
+    """name, state: the field of each label, counted from 0; null where a label has too few."""
+    return tips.select("name", F.nullif(F.get(F.split("name", re.escape(sep)), F.lit(field)), F.lit("")).alias("state"))
+
+
+def write_table_text(rows: DataFrame, path: str, by: list[str] | None = None, digits: dict[str, int] | None = None) -> None:
+    """Rows as tab-separated texts with a header, nulls empty; ``by`` splits into folders, ``digits`` fixes decimals of columns."""
+    shaped = rows.withColumns({c: F.format_string(f"%.{n}f", F.col(c).cast("double")) for c, n in (digits or {}).items()})
+    writer = shaped.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "")
+    (writer.partitionBy(*by) if by else writer).csv(path)
+
+
+def burnt_trees(trees: DataFrame, burnin: float = 0.1, thin: int = 1, cap: int | None = None) -> DataFrame:
+    """Trees (chain, tree, newick) without the first share of each chain, every ``thin``-th of the rest, at most an even part of ``cap`` a chain.
+
+    Trees are taken in the order of the numbers in their names. Choose before
+    parsing: what is left out is never parsed.
+    """
+    numbered = trees.withColumn("_no", F.coalesce(F.regexp_extract("tree", r"(\d+)$", 1).try_cast("long"), F.lit(0)))
+    ranked = value_rank(numbered, ["chain"], "_no", "tree", "_r").join(trees.groupBy("chain").agg(F.count(F.lit(1)).alias("_size")), "chain")
+    place = F.col("_r") - 1 - F.bround(F.col("_size") * burnin)
+    kept = ranked.where((place >= 0) & (place % thin == 0)).withColumn("idx", place / thin)
+    if cap is not None:
+        chains = trees.select("chain").distinct().count() or 1
+        kept = kept.where(F.col("idx") < -(-cap // chains))
+    return kept.select(*trees.columns)
 
 
 def read_chain_log(spark: SparkSession, path: str) -> DataFrame:

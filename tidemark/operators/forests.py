@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.gates import permutation_p
@@ -259,6 +259,76 @@ def congruence(nodes: DataFrame, collapse: float | None = 70.0, congruent: float
     return out.select("n_trees", "n_shared", "n_taxa", "mean_distance", "max_distance", "n_reassortants", "verdict", (F.col("verdict") == "congruent").alias("concatenate"))
 
 
+def branches(nodes: DataFrame, stats: DataFrame, most_recent: float) -> DataFrame:
+    """tree, node, parent_state, state, parent_year, year, length, terminal: every branch of every tree.
+
+    ``nodes`` has a state by node. The deepest node of a tree is of the year
+    ``most_recent``, others are as much older as their depth is less. Branches from
+    or to a node without a state are left out.
+    """
+    deepest = stats.groupBy("tree").agg(F.max("depth").alias("deepest"))
+    rows = nodes.select("tree", "node", "parent", "state").join(stats.select("tree", "node", "depth", "is_tip"), ["tree", "node"]).join(deepest, "tree")
+    rows = rows.withColumn("year", F.lit(most_recent) - (F.col("deepest") - F.col("depth")))
+    above = rows.select("tree", F.col("node").alias("parent"), F.col("state").alias("parent_state"), F.col("year").alias("parent_year"))
+    out = rows.join(above, ["tree", "parent"]).where("state is not null and parent_state is not null")
+    return out.select("tree", "node", "parent_state", "state", "parent_year", "year", (F.col("year") - F.col("parent_year")).alias("length"), F.col("is_tip").alias("terminal"))
+
+
+def transition_table(rows: DataFrame, recent: float, digits: int = 6) -> DataFrame:
+    """parent_state, state, n, share, per_tree, median_year, iqr, terminal_share, deep_share of ``branches`` whose ends differ in state.
+
+    A change is dated to the middle of its branch; deep ones are before ``recent``.
+    Quartiles are those of counts by year and thousandth, so no pair of states is
+    gathered.
+    """
+    year = F.round((F.col("year") + F.col("parent_year")) / 2, 3)
+    jumps = checkpointed(rows.where("state <> parent_state").groupBy("parent_state", "state", year.alias("mid"), "terminal").agg(F.count(F.lit(1)).alias("c")))
+    trees = rows.agg(F.count_distinct("tree")).first()[0] or 1
+    pair = ["parent_state", "state"]
+    years = jumps.groupBy(*pair, "mid").agg(F.sum("c").alias("c"))
+    upto, n = F.sum("c").over(Window.partitionBy(*pair).orderBy("mid")), F.sum("c").over(Window.partitionBy(*pair))
+    placed = years.withColumns({"upto": upto, "n": n})
+
+    def quantile(q: float) -> Column:
+        """Linear between the two values around place q (n - 1), from 0."""
+        at = (F.col("n") - 1) * q
+        value = lambda k: F.max(F.when((F.col("upto") > k) & (F.col("upto") - F.col("c") <= k), F.col("mid")))
+        low, high = value(F.floor(at)), value(F.ceil(at))
+        return low + (high - low) * (F.max(at) - F.max(F.floor(at)))
+
+    quartiles = placed.groupBy(*pair).agg(*(quantile(q).alias(name) for q, name in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))))
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("c"))), F.lit(0))
+    counts = jumps.groupBy(*pair).agg(F.sum("c").alias("n"), total(F.col("terminal")).alias("t"), total(F.col("mid") < recent).alias("d"))
+    out = counts.join(quartiles, pair).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    r = lambda c, name: F.round(c, digits).alias(name)
+    return out.select(*pair, "n", r("share", "share"), r(F.col("n") / trees, "per_tree"), r("q2", "median_year"), r(F.col("q3") - F.col("q1"), "iqr"), r(F.col("t") / F.col("n"), "terminal_share"), r(F.col("d") / F.col("n"), "deep_share"))
+
+
+def root_states(nodes: DataFrame) -> DataFrame:
+    """state, n_trees, share: the state at the root over all trees.
+
+    A root without a state that has one child only (a stem) takes that child's;
+    trees whose root has none even so count as null.
+    """
+    kids = nodes.where("parent is not null").groupBy("tree", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("k"), F.max("state").alias("below"))
+    roots = nodes.where("parent is null").join(kids, ["tree", "node"], "left")
+    state = F.coalesce("state", F.when(F.col("k") == 1, F.col("below")))
+    counts = roots.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n_trees"))
+    return counts.select("state", "n_trees", F.round(F.col("n_trees") / F.sum("n_trees").over(Window.partitionBy()), 6).alias("share"))
+
+
+def date_errors(stats: DataFrame, tips: DataFrame, most_recent: float, tolerance: float = 0.05) -> DataFrame:
+    """tree, n_tips, worst, n_off: how far the heights of dated tips (name, year) are from what their years say, and whether times fit.
+
+    The height of a tip is the depth of the deepest node less its own; it should be
+    ``most_recent`` less its year.
+    """
+    deepest = stats.groupBy("tree").agg(F.max("depth").alias("deepest"))
+    rows = stats.where("is_tip").join(if_small(checkpointed(tips.where("year is not null").select("name", "year"))), "name").join(deepest, "tree")
+    off = F.abs((F.lit(most_recent) - F.col("year")) - (F.col("deepest") - F.col("depth")))
+    return rows.groupBy("tree").agg(F.count(F.lit(1)).alias("n_tips"), F.round(F.max(off), 6).alias("worst"), F.count_if(off > tolerance).alias("n_off"))
+
+
 @lru_cache(maxsize=4)
 def _permutations(n: int, replicates: int, seed: int) -> np.ndarray:
     """Row 0 in order, then ``replicates`` random orders of n labels; the same for every tree."""

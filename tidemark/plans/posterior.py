@@ -86,7 +86,28 @@ def forest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return forests.nearest_tips(nodes, forests.shared_tips(nodes)).select("tree", "name", F.array_join("near", ",").alias("near"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (forest_nodes, forest_association, forest_signal, forest_clades, forest_congruence, forest_distances, forest_neighbours)}
+def _with_states(spark: SparkSession, sf: str, nodes: DataFrame) -> DataFrame:
+    """Inner node k has the state of the nation of rank k."""
+    last = read_table(spark, sf, "nation").agg(F.max("n_nationkey")).first()[0] or 0
+    states = nodes.where("name is not null").join(_states(spark, sf), "name").select("tree", "node", "state")
+    inner = states.select("tree", (F.col("node") - last).alias("node"), "state").where(F.col("node") <= last)
+    return nodes.join(states.unionByName(inner), ["tree", "node"], "left")
+
+
+def forest_transitions(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import forests
+
+    nodes = checkpointed(_with_states(spark, sf, _trees(spark, sf)))
+    return forests.transition_table(forests.branches(nodes, checkpointed(forests.node_stats(nodes)), 2000.0), 1996.0, digits=3)
+
+
+def forest_roots(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.operators import forests
+
+    return forests.root_states(_with_states(spark, sf, _trees(spark, sf)))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (forest_nodes, forest_association, forest_signal, forest_clades, forest_congruence, forest_distances, forest_neighbours, forest_transitions, forest_roots)}
 
 
 def _nodes(tree: str) -> str:
@@ -108,6 +129,9 @@ c AS (SELECT tree, node, count(*) AS n_tips, max(CASE WHEN r = 1 THEN dist END)
 
 _DAY = _nodes("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')")
 
+_INNER = """, o AS (SELECT n.tree, n.node, CAST(n_regionkey AS VARCHAR) AS state FROM n JOIN nation ON CAST(n_nationkey AS VARCHAR) = n.name),
+i AS (SELECT * FROM o UNION ALL SELECT tree, node - m, state FROM o, m WHERE node - m <= m)
+"""
 _TIPS = "SELECT n.tree, n.node, 1 << n_regionkey AS mask, 0 AS cost FROM n JOIN nation ON CAST(n_nationkey AS VARCHAR) = n.name WHERE CAST(floor(log2(n.node)) AS INT) = {level}"
 _UP = """ UNION ALL SELECT l.tree, l.node >> 1, CASE WHEN l.mask & r.mask <> 0 THEN l.mask & r.mask ELSE l.mask | r.mask END, l.cost + r.cost + CASE WHEN l.mask & r.mask = 0 THEN 1 ELSE 0 END
     FROM f{below} l JOIN f{below} r ON r.tree = l.tree AND r.node = l.node + 1 WHERE l.node % 2 = 0"""
@@ -128,6 +152,14 @@ i AS (SELECT tree, sum((1 - top / n) / 2 ** (n - 1)) AS ai FROM w WHERE node < (
 o AS (SELECT x.tree, x.state, max(CASE WHEN x.k = w.n THEN x.k END) AS mc FROM x JOIN w USING (tree, node) GROUP BY 1, 2)
 SELECT 'AI' AS statistic, NULL AS state, round(avg(ai), 6) AS x FROM i UNION ALL SELECT 'MC', state, round(avg(mc), 6) FROM o GROUP BY 2
 UNION ALL SELECT 'PS', NULL, round(avg(cost), 6) FROM f0""",
+    "forest_transitions": _DAY
+    + _INNER
+    + """, w AS (SELECT i.tree, i.node, i.state, p.state AS parent_state, z.depth, y.depth AS above, n.name IS NOT NULL AS terminal, max(z.depth) OVER (PARTITION BY i.tree) AS deepest
+  FROM i JOIN i p ON p.tree = i.tree AND p.node = i.node >> 1 JOIN z ON z.tree = i.tree AND z.node = i.node JOIN z y ON y.tree = i.tree AND y.node = i.node >> 1 JOIN n ON n.tree = i.tree AND n.node = i.node),
+j AS (SELECT *, round((2 * (2000 - deepest) + depth + above) / 2, 3) AS mid FROM w WHERE state <> parent_state)
+SELECT parent_state, state, count(*) AS n, round(count(*) / (SELECT count(*) FROM j), 3) AS share, round(count(*) / (SELECT count(*) FROM d), 3) AS per_tree, round(quantile_cont(mid, 0.5), 3) AS median_year,
+  round(quantile_cont(mid, 0.75) - quantile_cont(mid, 0.25), 3) AS iqr, round(avg(CAST(terminal AS INT)), 3) AS terminal_share, round(avg(CAST(mid < 1996 AS INT)), 3) AS deep_share FROM j GROUP BY 1, 2""",
+    "forest_roots": _DAY + _INNER + "SELECT state, count(*) AS n_trees, round(count(*) / (SELECT count(*) FROM d), 6) AS share FROM i WHERE node = 1 GROUP BY 1",
     "forest_distances": _nodes("c_mktsegment")
     + """, h AS (SELECT b.tree, b.node, count(*) AS n, list_sort(list(b.name)) AS side FROM b JOIN n USING (tree, node) WHERE n.support IS NULL OR n.support >= 70 GROUP BY 1, 2),
 l AS (SELECT list_sort(list(CAST(n_nationkey AS VARCHAR))) AS whole FROM nation),

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import forests
 
@@ -151,3 +152,18 @@ def test_clade_rows(spark):
     assert [(r.clade, r.clade_nr, r.n_tips, r.stem_support, r.min_internal_support, r.reference_lineages) for r in out] == [(2, 1, 8, 80.0, 80.0, "L1;L2")]
     assert (out[0].slope, out[0].r_squared, out[0].verdict) == (pytest.approx(0.1), 1.0, "weak")
     assert forests.clade_rows(forests.node_stats(nodes, 0.5), tips).count() == 0
+
+
+def test_histories(spark):
+    rows = [("a", 1, None, None, "x", 0.0), ("a", 2, 1, "p", "x", 1.0), ("a", 3, 1, None, "y", 2.0), ("a", 4, 3, "q", "y", 1.0), ("a", 5, 3, "r", None, 0.5), ("b", 1, None, None, None, 0.0), ("b", 2, 1, None, "y", 1.0), ("b", 3, 2, "p", "x", 4.0)]
+    nodes = spark.createDataFrame(rows, "tree string, node long, parent long, name string, state string, length double").withColumn("support", F.lit(None).cast("double"))
+    stats = forests.node_stats(nodes)
+    found = forests.branches(nodes, stats, 2020.0).collect()
+    assert {(r.tree, r.node): (r.parent_state, r.state, r.parent_year, r.year, r.terminal) for r in found} == {
+        ("a", 2): ("x", "x", 2017.0, 2018.0, True), ("a", 3): ("x", "y", 2017.0, 2019.0, False), ("a", 4): ("y", "y", 2019.0, 2020.0, True), ("b", 3): ("y", "x", 2016.0, 2020.0, True),
+    }
+    table = {(r.parent_state, r.state): (r.n, r.median_year, r.terminal_share, r.deep_share, r.per_tree) for r in forests.transition_table(forests.branches(nodes, stats, 2020.0), 2018.0).collect()}
+    assert table == {("x", "y"): (1, 2018.0, 0.0, 0.0, 0.5), ("y", "x"): (1, 2018.0, 1.0, 0.0, 0.5)}
+    assert {r.state: (r.n_trees, r.share) for r in forests.root_states(nodes).collect()} == {"x": (1, 0.5), "y": (1, 0.5)}
+    tips = spark.createDataFrame([("p", 2018.0), ("q", 2020.0), ("r", None)], "name string, year double")
+    assert {r.tree: (r.n_tips, r.worst, r.n_off) for r in forests.date_errors(stats, tips, 2020.0).collect()} == {"a": (2, 0.0, 0), "b": (1, 2.0, 1)}

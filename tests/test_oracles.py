@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.comparing import duck_rows, spark_rows
-from tidemark.plans import alignments, extras, phylogeny, problems, records, signals
+from tidemark.plans import alignments, compare, extras, phylogeny, posterior, problems, records, signals
 
-CORE = {n: (m.QUERIES[n], m.SQL.get(n)) for m in (records, alignments, phylogeny, signals, extras, problems) for n in m.QUERIES}
+CORE = {n: (m.QUERIES[n], m.SQL.get(n)) for m in (records, alignments, compare, phylogeny, posterior, signals, extras, problems) for n in m.QUERIES}
 
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in CORE.items() if sql])

@@ -42,3 +42,9 @@ def test_drift_of_categories_years_magnitudes_and_tails(spark):
     got = {(r.load_id, r.field_name): r for r in distribution_changes(df).collect()}
     assert {f for load, f in got if load == 2 and got[load, f].shifted} == {"host", "flag", "day", "number", "seen", "text"}
     assert not any(r.shifted for (load, _), r in got.items() if load == 1)
+
+
+def test_nested_columns(spark):
+    df = spark.createDataFrame([(1, [1, 2], (1, None)), (1, [1, 2], (1, "x")), (1, None, None)], "load_id int, l array<int>, s struct<a:int,b:string>")
+    got = {r.field_name: (r.n_rows, r.n_missing, r.n_distinct, r.min_text) for r in column_profile(df).collect()}
+    assert got == {"l": (3, 1, 1, "[1,2]"), "s": (3, 1, 2, '{"a":1,"b":"x"}')}

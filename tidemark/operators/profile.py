@@ -40,6 +40,7 @@ def segment_form(text: Column) -> Column:
     return F.when(text.rlike(r"^([1-9]|10)$"), text)
 
 
+NESTED = (T.ArrayType, T.MapType, T.StructType)
 #: Columns with rules of their own: the form of a valid value, null of a broken one.
 RULES = {"collection_date": date_form, "lat_lon": lat_lon_form, "segment": segment_form}
 
@@ -56,13 +57,14 @@ def value_form(field: Column, value: Column, numeric: list[str]) -> Column:
 
 
 def value_counts(df: DataFrame, load: str, fields: list[str]) -> DataFrame:
-    """load, field_name, value, n: how often each value occurs in a column of a load."""
-    texts = df.select(F.col(load).alias("load"), *(F.col(c).cast("string").alias(c) for c in fields))
+    """load, field_name, value, n: how often each value occurs in a column of a load; lists, maps and structures by their JSON text."""
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, NESTED)]
+    texts = df.select(F.col(load).alias("load"), *((F.to_json(c) if c in nested else F.col(c).cast("string")).alias(c) for c in fields))
     return texts.unpivot(["load"], fields, "field_name", "value").groupBy("load", "field_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _fields(df: DataFrame, load: str) -> tuple[list[str], list[str]]:
-    fields = [f for f in df.schema.fields if f.name != load and isinstance(f.dataType, T.AtomicType)]
+    fields = [f for f in df.schema.fields if f.name != load and isinstance(f.dataType, (T.AtomicType, *NESTED))]
     return [f.name for f in fields], [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
 
 
@@ -75,7 +77,8 @@ def with_forms(counts: DataFrame, numeric: list[str]) -> DataFrame:
 def column_profile(df: DataFrame, load: str = "load_id") -> DataFrame:
     """One row per load and column: counts, missing rate, exact distinct values, ranges, broken values.
 
-    Null and empty values are missing. Columns of nested types are left out.
+    Null and empty values are missing. Lists, maps and structures are profiled by
+    their JSON text.
     Ranges of numbers are by number, of other types by text. A null load is a
     load of its own. An empty table gives no rows.
     """

@@ -84,15 +84,19 @@ def _pairs(stats: DataFrame) -> DataFrame:
 
 
 def schema_changes(df: DataFrame, same: float = 0.8) -> DataFrame:
+    """Differences between each file of ``df`` and that of the next earlier date (``cell_changes`` of its cells)."""
+    return cell_changes(checkpointed(file_cells(latest_files(df))), same)
+
+
+def cell_changes(cells: DataFrame, same: float = 0.8) -> DataFrame:
     """Differences between each file and that of the next earlier date: build_id, field_name, change_kind, old_name, old_type, new_type.
 
     ``renamed``: one field goes and another comes with equal values (missing
     equals missing) in at least ``same`` of the clades of both files; of several
     candidates the best pair counts. Else ``added``, ``removed`` (old name) or
     ``retyped``; a field without any value has no type and is not retyped. A file
-    without readable records is skipped.
+    without readable records is skipped. ``cells`` is read several times.
     """
-    cells = checkpointed(file_cells(latest_files(df)))
     stats = checkpointed(path_types(cells))
     pairs = checkpointed(_pairs(stats))
     now = stats.join(pairs.select(*SERIES, "build_date", "prev_date"), [*SERIES, "build_date"]).select(*SERIES, "build_date", "field", F.col("field_type").alias("t"), F.lit(1).alias("side"))
@@ -174,9 +178,10 @@ def clade_table(df: DataFrame) -> DataFrame:
     takes it, the others are in ``rest`` by their own names. Of a field that stands
     twice in a record the greater value counts.
     """
-    names = checkpointed(field_names(schema_changes(df)))
+    parsed = checkpointed(file_cells(latest_files(df)))
+    names = checkpointed(field_names(cell_changes(parsed)))
     file = [*SERIES, "build_date", "build_id"]
-    cells = file_cells(latest_files(df)).where("value is not null").join(if_small(names), "field", "left").withColumn("column", F.coalesce("column", "field"))
+    cells = parsed.where("value is not null").join(if_small(names), "field", "left").withColumn("column", F.coalesce("column", "field"))
     cells = checkpointed(cells.groupBy(*file, "rec", "clade", "column", "field").agg(F.max(F.struct("value", "raw_type")).alias("x")))
     owners = checkpointed(cells.groupBy(*file, "column").agg(F.min(F.struct(F.col("field") != F.col("column"), "field"))["field"].alias("owner")))
     cells = cells.join(if_small(owners), [*file, "column"]).withColumn("column", F.when(F.col("field") == F.col("owner"), F.col("column")).otherwise(F.col("field")))

@@ -108,6 +108,17 @@ def test_thousand_permutations(spark):
     assert got.p == round(1 / 1001, 6) and got.verdict == "pass"
 
 
+def test_permutations_repeat_no_row(spark):
+    """Groups that fit a task have the p of the rows sorted by md5, without a row for each replicate."""
+    rng = random.Random(5)
+    rows = [(g, f"{g}{i}", 2000.0 + rng.randrange(9), 100.0 if g == "flat" else rng.random() * 9) for g in ("a", "b", "flat", "one") for i in range(1 if g == "one" else 60)] + [("a", None, 2001.0, 3.0), ("a", "n", None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, k string, x double, y double")
+    want = dict(gates.permutation_p(df, "g", "k", "x", "y", 19).collect())
+    got = gates.grouped_p(df, "g", "k", "x", "y", 19)
+    assert dict(got.collect()) == want and dict(gates.grouped_p(df, "g", "k", "x", "y", 19, rows_a_task=60).collect()) == want
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString() and want["flat"] == 1.0 and want["one"] == 0.05
+
+
 def test_trait_verdict_needs_ai_ps_and_mc(spark):
     clustered = {i: "AB"[i >= 24] for i in range(16, 32)}
     mixed = {i: "AB"[i % 2] for i in range(16, 32)}

@@ -8,6 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ranks import md5_rank
+from tidemark.session import checkpointed
+
+try:
+    from _md5 import md5  # for short texts it takes under half the time of hashlib's
+except ImportError:
+    from hashlib import md5
+
+#: Rows of a group up to which one task takes it whole, in arrays.
+ROWS_A_TASK = 3_000_000
+#: Tasks among which the replicates of a group are dealt; each gets the rows of the group.
+PARTS = 2
 
 
 def decimal_year(ts: Column) -> Column:
@@ -54,14 +65,65 @@ def permutation_p(df: DataFrame, group: str, key: str, x: str, y: str, replicate
     return slopes.join(real, group).groupBy(group).agg(((hits + 1) / (F.count(F.lit(1)) + 1)).alias("p"))
 
 
-def temporal_signal(df: DataFrame, group: str, key: str, x: str, y: str, replicates: int = 1000, min_r2: float = 0.1, min_span: float = 5.0, max_concentration: float = 0.75) -> DataFrame:
-    """Regression, sampling diagnostics, permutation p and verdict of each group.
+def grouped_p(df: DataFrame, group: str, key: str, x: str, y: str, replicates: int, drawn: bool = False, seed: int = 12345, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """As ``permutation_p``, for few groups of many rows: a group stays in arrays, so no row is repeated by replicate.
+
+    With ``drawn`` permutations are random orders of y (by seed, replicate and
+    size, whatever the order of rows) instead of those by md5. Rows are sent once
+    for each of ``PARTS`` parts of the replicates. Groups over ``rows_a_task`` rows,
+    which are too large for that, go through ``permutation_p`` with all their rows.
+    """
+    rows = df.where(F.col(group).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(group).alias("g"), F.lit("").alias("k") if drawn else F.col(key).cast("string").alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    sizes = checkpointed(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n")))
+    large = sizes.where(F.col("n") > rows_a_task).select(group)
+    parts = min(PARTS, replicates)
+
+    def hits(table):
+        import numpy as np
+        import pyarrow as pa
+
+        def md5_order(salt: bytes) -> np.ndarray:
+            digests = [np.frombuffer(b"".join([md5(salt + k).digest() for k in names[i : i + 50_000]]), ">u8").reshape(-1, 2).astype(np.uint64) for i in range(0, len(names), 50_000)]
+            high, low = np.concatenate(digests).T
+            order = np.argsort(high)
+            ties = high[order]
+            return np.lexsort((low, high)) if (ties[1:] == ties[:-1]).any() else order
+
+        names = [] if drawn else [b"" if k is None else b"|" + k.encode() for chunk in table["k"].chunks for k in chunk.to_pylist()]
+        part = table["part"][0].as_py()
+        a, b = (table[c].to_numpy() for c in "xy")
+        a, b, n, varies = a - a.mean(), b - b.mean(), len(a), a.min() != a.max()
+        mine, found = range(part + 1, replicates + 1, parts), 0
+        if varies:
+            if drawn:
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+            square = a @ a
+            real = a @ b / square
+            for rep in mine:
+                if drawn:
+                    cross = a @ np.random.default_rng([seed, rep, n]).permutation(b)
+                else:
+                    cross = a[md5_order(b"x|%d" % rep)] @ b[md5_order(b"y|%d" % rep)]
+                found += bool(np.isnan(real) or np.round(cross / square, 9) >= np.round(real, 9))
+        return pa.table({"g": table["g"].slice(0, 1), "hits": pa.array([found], pa.int64()), "n": pa.array([len(mine)], pa.int64())})
+
+    fitting = rows.join(F.broadcast(large.withColumnRenamed(group, "g")), "g", "left_anti").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    # The number of partitions is given, as few bytes would else be put into few tasks.
+    tasks = max(1, min(200, 4 * parts * sizes.count()))
+    done = fitting.repartition(tasks, "g", "part").groupBy("g", "part").applyInArrow(hits, f"g {dict(df.dtypes)[group]}, hits long, n long")
+    out = done.groupBy(F.col("g").alias(group)).agg(((F.sum("hits") + 1) / (F.sum("n") + 1)).alias("p"))
+    return out if large.isEmpty() else out.unionByName(permutation_p(df.join(F.broadcast(large), group), group, key, x, y, replicates))
+
+
+def temporal_signal(df: DataFrame, group: str, key: str, x: str, y: str, replicates: int = 1000, min_r2: float = 0.1, min_span: float = 5.0, max_concentration: float = 0.75, drawn: bool = False) -> DataFrame:
+    """Regression, sampling diagnostics, permutation p and verdict of each group; ``drawn`` as in ``grouped_p``.
 
     ``fail``: no positive slope, p above 0.05 or too short a span, or a slope near
     -1 with a high r_squared (lengths are years and run backwards); ``weak``: low
     r_squared or most rows within ten years; else ``pass``.
     """
-    out = regressions(df, group, x, y).join(sampling_diagnostics(df, group, x), group).join(permutation_p(df, group, key, x, y, replicates), group)
+    out = regressions(df, group, x, y).join(sampling_diagnostics(df, group, x), group).join(grouped_p(df, group, key, x, y, replicates, drawn), group)
     inverted = (F.abs(F.col("slope") + 1) < 0.05) & (F.col("r_squared") > 0.8)
     verdict = F.when(inverted | (F.col("slope") <= 0) | (F.col("p") > 0.05) | (F.col("span") < min_span), "fail").when((F.col("r_squared") < min_r2) | (F.col("densest") > max_concentration), "weak").otherwise("pass")
     return out.select(group, "n", *(F.round(c, 6).alias(c) for c in ("slope", "r_squared", "span", "occupancy", "densest", "p")), verdict.alias("verdict"))

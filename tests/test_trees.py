@@ -119,6 +119,15 @@ def test_permutations_repeat_no_row(spark):
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString() and want["flat"] == 1.0 and want["one"] == 0.05
 
 
+def test_drawn_permutations(spark):
+    rng = random.Random(6)
+    rows = [(g, i, 2000.0 + i / 2, i / 2 * (g == "up") + rng.random()) for g in ("up", "none") for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, k long, x double, y double")
+    got, again = ({r.g: (r.p, r.verdict) for r in gates.temporal_signal(t, "g", "k", "x", "y", drawn=True).collect()} for t in (df, df.orderBy("y").repartition(5)))
+    by_md5 = dict(gates.permutation_p(df, "g", "k", "x", "y", 1000).collect())
+    assert got == again and got["up"] == (round(1 / 1001, 6), "pass") and got["none"][1] == "fail" and abs(got["none"][0] - by_md5["none"]) < 0.06
+
+
 def test_trait_verdict_needs_ai_ps_and_mc(spark):
     clustered = {i: "AB"[i >= 24] for i in range(16, 32)}
     mixed = {i: "AB"[i % 2] for i in range(16, 32)}

@@ -24,7 +24,7 @@ def temporal_signal(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def temporal_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    return gates.temporal_signal(_orders(spark, sf), "o_orderpriority", "o_orderkey", "year", "o_totalprice")
+    return gates.temporal_signal(_orders(spark, sf), "o_orderpriority", "o_orderkey", "year", "o_totalprice", drawn=True)
 
 
 def temporal_by_group(spark: SparkSession, sf: str) -> DataFrame:

@@ -138,6 +138,20 @@ def test_trait_verdict_needs_ai_ps_and_mc(spark):
         assert got["PS", None].observed == score and got["MC", "A"].n_tips == 8 and got["PS", None].null_lo <= got["PS", None].null_mean <= got["PS", None].null_hi
 
 
+def test_trait_verdict_in_arrays(spark):
+    """Without a closure, over forks, stems, many children and tips without a state, as by joins."""
+    rng = random.Random(7)
+    rows = [(i, None if i < 3 else rng.randrange(1, max(2, i // 2)), 1.0, rng.choice(["a", "b", "b", "c", None])) for i in range(1, 160)] + [(i, 5, 1.0, "a") for i in range(200, 240)]
+    nodes = spark.createDataFrame(rows, NODES)
+    got, want = ({(r.statistic, r.state): r for r in trees.trait_verdict(nodes, None, trees.tips(nodes), 1000, nodes_a_task=k).collect()} for k in (1000, 10))
+    assert set(got) == set(want) == {("AI", None), ("PS", None), *(("MC", s) for s in "abc")}
+    for k, r in want.items():
+        assert (got[k].observed, got[k].n_tips, got[k].thin, got[k].verdict) == (r.observed, r.n_tips, r.thin, r.verdict), k
+        assert abs(got[k].null_mean - r.null_mean) < 0.05 * r.null_mean and abs(got[k].p - r.p) < 0.1, k
+    shuffled = {(r.statistic, r.state): r for r in trees.trait_verdict(nodes.orderBy("length", trees.F.desc("node")), None, trees.tips(nodes)).collect()}
+    assert shuffled == got
+
+
 def test_randomisation_is_inconclusive(spark):
     def verdict(real, reps, ess):
         rows = [("real", real), *((f"r{i}", m) for i, m in enumerate(reps))]

@@ -8,12 +8,20 @@ compared by sums of tip hashes, never as collected sets.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ranks import md5_rank
 from tidemark.session import checkpointed
 
+#: Nodes, and nodes times states, up to which one tree is relabelled in arrays, whole in each task.
+NODES_A_TASK = 8_000_000
+CELLS_A_TASK = 60_000_000
+#: Tasks among which the relabellings are dealt.
+PARTS = 24
+
 
 def ancestors(nodes: DataFrame, max_rounds: int = 40) -> DataFrame:
     """node, ancestor, hops, dist: every node with itself and all nodes above it.
@@ -201,20 +209,151 @@ def parsimony_scores(nodes: DataFrame, depths: DataFrame, labelled: DataFrame) -
     return done.groupBy("rep").agg(F.sum("cost").alias("score"))
 
 
-def trait_verdict(nodes: DataFrame, closure: DataFrame, tip_states: DataFrame, replicates: int = 1000, alpha: float = 0.05) -> DataFrame:
-    """One row per statistic: observed, null_mean, null_lo, null_hi, p, n_tips, thin, verdict of the association of states with the tree.
+def tree_bytes(nodes: DataFrame, codes: DataFrame) -> DataFrame:
+    """One row: fan, code, roots of a whole tree, compressed: children and state (-1 if none) of nodes by level, those of one parent together.
 
-    Statistics are the association index (AI), the parsimony score (PS) and the
-    largest pure clade of each state (MC, with the state), all from the same
-    relabellings; null_lo and null_hi are their 2.5 and 97.5 percentiles. p is
-    (replicates at least as extreme + 1) / (replicates + 1): low AI and PS, high
-    MC. ``pass`` if AI, PS and at least one MC are below ``alpha``, ``weak`` if AI or PS
-    is, else ``fail``. ``thin``: under 20 tips, or under 5 of the state. States
-    have one bit each, so there are at most 63.
+    Levels follow from the fans, as the children of a level are the next one, in
+    order. Nodes whose parent is missing are roots of their own.
     """
-    known = tip_states.where("state is not null").select("node", "state")
+
+    def lay(table):
+        import numpy as np
+        import pyarrow as pa
+
+        ids = table["node"].to_numpy()
+        by_id = np.argsort(ids, kind="stable")
+        ids, code = ids[by_id], table["code"].to_numpy().astype(np.int8)[by_id]
+        parent, rooted = table["parent"].fill_null(0).to_numpy()[by_id], table["parent"].is_null().to_numpy()[by_id]
+        up = np.minimum(np.searchsorted(ids, parent), len(ids) - 1)
+        up = np.where(~rooted & (ids[up] == parent), up, -1)
+        below = np.argsort(up, kind="stable")
+        fan = np.bincount(up[up >= 0], minlength=len(ids))
+        level = below[: (up < 0).sum()]
+        first = np.cumsum(fan) - fan + len(level)
+        order, roots = [level], len(level)
+        while len(level := level[fan[level] > 0]):
+            n = fan[level]
+            level = below[np.repeat(first[level] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            order.append(level)
+        order = np.concatenate(order)
+        if len(order) < len(ids):
+            raise ValueError("nodes hang below themselves")
+        fan, code = fan[order], np.where(fan[order] > 0, -1, code[order])
+        row = {"fan": zlib.compress(fan.astype(np.int32).tobytes(), 1), "code": zlib.compress(code.astype(np.int8).tobytes(), 1), "roots": roots}
+        return pa.table({"fan": pa.array([row["fan"]], pa.binary()), "code": pa.array([row["code"]], pa.binary()), "roots": pa.array([roots], pa.int64())})
+
+    rows = nodes.select(F.col("node").cast("long").alias("node"), F.col("parent").cast("long").alias("parent")).join(codes, "node", "left")
+    rows = rows.select(F.lit(1).alias("k"), "node", "parent", F.coalesce("code", F.lit(-1)).cast("int").alias("code"))
+    return rows.groupBy("k").applyInArrow(lay, "fan binary, code binary, roots long")
+
+
+class _Levels:
+    """A tree of ``tree_bytes`` as arrays by level, from which statistics of any labelling follow level by level."""
+
+    def __init__(self, fan, code, roots: int, n_states: int) -> None:
+        import numpy as np
+
+        self.np, self.n_states = np, n_states
+        self.kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if n_states <= 8 * np.dtype(t).itemsize)
+        self.labels = code[code >= 0].astype(np.uint8)
+        bounds = [0, roots]
+        while (n := int(fan[bounds[-2] : bounds[-1]].sum())) > 0:
+            bounds.append(bounds[-1] + n)
+        self.levels, sizes, label = [], None, len(self.labels)
+        for start, stop in reversed(list(zip(bounds, bounds[1:]))):
+            f, tips = fan[start:stop], np.flatnonzero(code[start:stop] >= 0)
+            inner = np.flatnonzero(f > 0)
+            own = np.zeros(stop - start, np.int64)
+            own[tips] = 1
+            steps, cuts = [], None
+            if len(inner):
+                kids = f[inner]
+                cuts = np.cumsum(kids) - kids
+                own[inner] = np.add.reduceat(sizes, cuts)
+                if kids.max() <= 16:  # else children are many, and summed up by segments
+                    steps = [(self._slice(at := np.flatnonzero(kids > k)), self._slice(cuts[at] + k)) for k in range(int(kids.max()))]
+            n = own[inner]
+            weight = np.where((n > 0) & (n <= 1024), np.exp2(1.0 - np.minimum(n, 1025)), 0.0)
+            self.levels.append((stop - start, self._slice(tips), slice(label - len(tips), label), self._slice(inner), len(inner), steps, cuts, np.maximum(n, 1).astype(np.float64), weight, n))
+            label, sizes = label - len(tips), own
+
+    def _slice(self, at):
+        """Places at equal distances as a slice, which numpy reads faster."""
+        if len(at) and (len(at) == 1 or (self.np.diff(at) == at[1] - at[0]).all()):
+            step = int(at[1] - at[0]) if len(at) > 1 else 1
+            return slice(int(at[0]), int(at[-1]) + 1, step)
+        return at
+
+    def _sum(self, op, rows, steps, cuts):
+        if not steps:
+            return op.reduceat(rows, cuts, axis=-1)
+        out = rows[..., steps[0][1]].copy()
+        for to, at in steps[1:]:
+            out[..., to] = op(out[..., to], rows[..., at])
+        return out
+
+    def sums(self, labels) -> list[float]:
+        """AI, PS and the largest pure clade of each state under the labels of the labelled tips."""
+        np, one = self.np, self.kind(1)
+        full = ~self.kind(0)
+        ai, cost, pure = 0.0, 0, (np.bincount(labels, minlength=self.n_states) > 0).astype(np.int64)
+        counts = masks = unions = None
+        for size, tips, mine, inner, n_inner, steps, cuts, n, weight, whole in self.levels:
+            own = labels[mine]
+            c, m, u = np.zeros((self.n_states, size), np.uint16), np.zeros(size, self.kind), np.zeros(size, self.kind)
+            if len(own):
+                c[:, tips] = own == np.arange(self.n_states, dtype=np.uint8)[:, None]
+                m[tips] = u[tips] = np.left_shift(one, own.astype(self.kind))
+            if n_inner:
+                below = self._sum(np.add, counts, steps, cuts)
+                c[:, inner] = below
+                ai += float(((1 - below.max(0) / n) * weight).sum())
+                any_of = self._sum(np.bitwise_or, masks, steps, cuts)
+                both = self._sum(np.bitwise_and, np.where(masks == 0, full, masks), steps, cuts) & any_of
+                cost += int(((both == 0) & (any_of != 0)).sum())
+                m[inner] = np.where(both != 0, both, any_of)
+                union = self._sum(np.bitwise_or, unions, steps, cuts)
+                u[inner] = union
+                sole = np.flatnonzero((union & (union - one)) == 0)
+                for s in range(self.n_states):
+                    here = whole[sole[union[sole] == one << self.kind(s)]]
+                    pure[s] = max(pure[s], here.max(initial=0))
+            counts, masks, unions = c, m, u
+        return [ai, float(cost), *map(float, pure)]
+
+
+def array_values(nodes: DataFrame, known: DataFrame, states: list, replicates: int, seed: int) -> DataFrame:
+    """rep, statistic, state, x of ``trait_verdict``: each task has the whole tree and some of the relabellings, so no row is repeated by replicate.
+
+    A relabelling is a random order of the states of the labelled tips by seed and
+    replicate, the same whatever the order of rows.
+    """
+    code = F.coalesce(*(F.when(F.col("state") == s, F.lit(k)) for k, s in enumerate(states)), F.lit(-1))
+    parts = min(PARTS, replicates + 1)
+    n_states = len(states)
+
+    def relabel(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                tree = _Levels(np.frombuffer(zlib.decompress(row["fan"]), np.int32), np.frombuffer(zlib.decompress(row["code"]), np.int8), row["roots"], n_states)
+                for rep in range(row["part"], replicates + 1, parts):
+                    found = tree.sums(np.random.default_rng([seed, rep]).permutation(tree.labels) if rep else tree.labels)
+                    yield pa.record_batch({"rep": pa.array([rep], pa.int32()), "x": pa.array([found], pa.list_(pa.float64()))})
+
+    tree = tree_bytes(nodes, known.select(F.col("node").cast("long").alias("node"), code.alias("code")))
+    dealt = tree.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(parts)
+    names = F.array(*(F.struct(F.lit(a).alias("statistic"), F.lit(s).cast("string").alias("state")) for a, s in (("AI", None), ("PS", None), *(("MC", str(s)) for s in states))))
+    rows = dealt.mapInArrow(relabel, "rep int, x array<double>").select("rep", F.explode(F.arrays_zip(names.alias("name"), F.col("x").alias("x"))).alias("z"))
+    return rows.select("rep", "z.name.statistic", "z.name.state", "z.x")
+
+
+def joined_values(nodes: DataFrame, closure: DataFrame, known: DataFrame, replicates: int) -> DataFrame:
+    """rep, statistic, state, x of ``trait_verdict`` for a tree of any size: closure rows meet all relabellings of a tip."""
     bits = known.select("state").distinct().select("state", (F.row_number().over(Window.orderBy("state")) - 1).alias("r")).select("state", F.expr("shiftleft(1L, r)").alias("mask"))
-    labelled = relabelled(tip_states, replicates)
+    labelled = relabelled(known, replicates)
     counts = closure.select("node", F.col("ancestor").alias("clade")).join(labelled, "node").groupBy("rep", "clade", "state").agg(F.count(F.lit(1)).alias("n"))
     clades = checkpointed(counts.groupBy("rep", "clade").agg(F.max(F.struct("n", "state")).alias("top"), F.sum("n").alias("n")))
     weight = F.when(F.col("n") > 1024, 0.0).otherwise((1 - F.col("top.n") / F.col("n")) / F.pow(F.lit(2.0), F.col("n") - 1))
@@ -222,8 +361,30 @@ def trait_verdict(nodes: DataFrame, closure: DataFrame, tip_states: DataFrame, r
     mc = clades.where("top.n = n").groupBy("rep", F.col("top.state").alias("state")).agg(F.max("n").cast("double").alias("x")).select("rep", F.lit("MC").alias("statistic"), F.col("state").cast("string").alias("state"), "x")
     scores = parsimony_scores(nodes, node_depths(closure), labelled.join(F.broadcast(bits), "state").select("node", "rep", "mask"))
     ps = scores.select("rep", F.lit("PS").alias("statistic"), F.lit(None).cast("string").alias("state"), F.col("score").cast("double").alias("x"))
-    values = checkpointed(ai.unionAll(ps).unionAll(mc))
-    return trait_report(values, known, alpha)
+    return ai.unionAll(ps).unionAll(mc)
+
+
+def trait_verdict(nodes: DataFrame, closure: DataFrame | None, tip_states: DataFrame, replicates: int = 1000, alpha: float = 0.05, seed: int = 12345, nodes_a_task: int = NODES_A_TASK) -> DataFrame:
+    """One row per statistic: observed, null_mean, null_lo, null_hi, p, n_tips, thin, verdict of the association of states with the tree.
+
+    Statistics are the association index (AI), the parsimony score (PS) and the
+    largest pure clade of each state (MC, with the state), all from the same
+    relabellings; null_lo and null_hi are their 2.5 and 97.5 percentiles. p is
+    (replicates at least as extreme + 1) / (replicates + 1): low AI and PS, high
+    MC. ``pass`` if AI, PS and at least one MC are below ``alpha``, ``weak`` if AI or PS
+    is, else ``fail``. ``thin``: under 20 tips, or under 5 of the state. States
+    have one bit each, so there are at most 63. A tree with whole-number nodes that
+    fits a task is relabelled in arrays; a larger one by joins with ``closure``,
+    which is made then if it isn't given.
+    """
+    known = checkpointed(tip_states.where("state is not null").select("node", "state"))
+    states = sorted(r.state for r in known.select("state").distinct().collect())
+    n = nodes.count()
+    if states and dict(nodes.dtypes)["node"] in ("tinyint", "smallint", "int", "bigint") and n <= nodes_a_task and n * len(states) <= CELLS_A_TASK:
+        values = array_values(nodes, known, states, replicates, seed)
+    else:
+        values = joined_values(nodes, ancestors(nodes) if closure is None else closure, known, replicates)
+    return trait_report(checkpointed(values), known, alpha)
 
 
 def trait_report(values: DataFrame, known: DataFrame, alpha: float) -> DataFrame:

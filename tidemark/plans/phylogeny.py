@@ -60,7 +60,7 @@ def trait_signal(spark: SparkSession, sf: str) -> DataFrame:
 
 def trait_verdict(spark: SparkSession, sf: str) -> DataFrame:
     nodes = _nodes(spark, sf)
-    return trees.trait_verdict(nodes, trees.ancestors(nodes), trees.tips(nodes))
+    return trees.trait_verdict(nodes, None, trees.tips(nodes))
 
 
 def fitch_score(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
+from collections import Counter
 
-from tidemark.operators import chains, gates, mutations, newick, trees
+from tidemark.operators import alignment, chains, gates, mutations, newick, trees
 
 NODES = "node long, parent long, length double, state string"
 
@@ -88,6 +89,25 @@ def test_branch_changes_against_brute_force(spark):
     assert {tuple(r) for r in mutations.branch_changes(nodes, levels, mutations.base_masks(cells)).collect()} == want
 
 
+def test_change_counts_keep_nothing_by_cell(spark):
+    """Blocks of any height give the changes of the cells, over forks, stems, many children, missing and empty tips."""
+    rng = random.Random(11)
+    up = {1: None, 2: None} | {i: max(1, i // rng.choice((2, 3, 9))) for i in range(3, 90)}
+    level = {}
+    for i, p in up.items():
+        level[i] = 0 if p is None else level[p] + 1
+    seqs = {i: "".join(rng.choice("ACGTN") for _ in range(rng.randrange(20))) for i in up if i not in up.values() and i % 7}
+    nodes = spark.createDataFrame(list(up.items()), "node long, parent long")
+    levels = spark.createDataFrame(list(level.items()), "node long, level int")
+    rows = spark.createDataFrame(list(seqs.items()), "name long, seq string")
+    changes = mutations.branch_changes(nodes, levels, mutations.base_masks(alignment.cells(rows).withColumnRenamed("name", "node"))).collect()
+    want = Counter((r.col, r.from_base, r.to_base) for r in changes)
+    for span, most in ((1, 1000), (2, 1000), (11, 1000), (2, 3)):
+        tree = mutations.tree_blocks(nodes, levels, span)
+        got = mutations.change_counts(tree, tree.join(mutations.packed_masks(rows), "node"), span, most).collect()
+        assert {(r.col, r.from_base, r.to_base): r.n for r in got} == want, span
+
+
 def test_newick_forms(spark):
     deep = "(" * 5000 + "a" + ")" * 5000 + ";"
     cases = {

@@ -26,13 +26,20 @@ def newick_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def branch_mutations(spark: SparkSession, sf: str) -> DataFrame:
     """Changes by base on a balanced tree whose tips are all documents in order, over all columns."""
-    docs = read_table(spark, sf, "documents").where("text is not null").select("doc_id", "text", F.lit(1).alias("one"))
-    n = docs.count()
-    ranked = checkpointed(value_rank(docs, ["one"], "doc_id", "doc_id")).withColumn("node", F.col("rank") + (n - 1))
-    cells = alignment.cells(alignment.as_bases(ranked, "node", "text")).withColumnRenamed("name", "node")
-    nodes = spark.range(1, max(2 * n, 1)).select(F.col("id").alias("node"), F.when(F.col("id") > 1, F.floor(F.col("id") / 2).cast("long")).alias("parent"))
-    levels = nodes.select("node", F.floor(F.log2("node") + F.lit(1e-12)).cast("int").alias("level"))
-    return mutations.branch_changes(nodes, levels, mutations.base_masks(cells)).groupBy("from_base", "to_base").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("col").alias("n_columns"))
+    docs = read_table(spark, sf, "documents").where("text is not null").select("doc_id", "text")
+    n, span = docs.count(), mutations.LEVELS_A_BLOCK
+    packed = mutations.packed_masks(alignment.as_bases(docs, "doc_id", "text")).withColumn("one", F.lit(1))
+    tips = value_rank(packed.withColumnRenamed("node", "doc_id"), ["one"], "doc_id", "doc_id").select((F.col("rank") + (n - 1)).alias("node"), "masks")
+    level = F.floor(F.log2("node") + F.lit(1e-12)).cast("int")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """With the columns of ``mutations.tree_blocks``, which follow from the number of a node."""
+        half = lambda node, times: F.call_function("shiftright", node, times)
+        rows = rows.withColumn("level", level).withColumn("parent", F.when(F.col("node") > 1, half(F.col("node"), F.lit(1))))
+        return rows.withColumns({"top": half(F.col("node"), F.col("level") % span), "above": half(F.col("parent"), (F.col("level") - 1) % span)})
+
+    counts = mutations.change_counts(placed(spark.range(1, max(2 * n, 1)).withColumnRenamed("id", "node")), placed(tips), span)
+    return counts.groupBy("from_base", "to_base").agg(F.sum("n").alias("n"), F.count_distinct("col").alias("n_columns"))
 
 
 def trait_state_design(spark: SparkSession, sf: str) -> DataFrame:
